@@ -15,18 +15,11 @@ def conform(df: DataFrame, layout: str) -> DataFrame:
     A column ``df`` lacks becomes null.
     """
     present = {name.lower() for name in df.columns}
-    return df.select(
-        *[
-            (F.col(field.name) if field.name.lower() in present else F.lit(None))
-            .cast(field.dataType)
-            .alias(field.name)
-            for field in T.StructType.fromDDL(layout)
-        ]
-    )
-
-
-def column_names(layout: str) -> list[str]:
-    return T.StructType.fromDDL(layout).names
+    return df.selectExpr(*[
+        f"CAST({f'`{field.name}`' if field.name.lower() in present else 'NULL'} "
+        f"AS {field.dataType.simpleString()}) AS `{field.name}`"
+        for field in T.StructType.fromDDL(layout)
+    ])
 
 
 def choose_column(df: DataFrame, candidates: Iterable[str]) -> str:

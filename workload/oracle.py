@@ -59,7 +59,7 @@ FROM src_salesorderheader h
 JOIN src_salesorderdetail d ON h.salesorderid = d.salesorderid
 LEFT JOIN src_product p ON d.productid = p.productid
 LEFT JOIN src_currencyrate r ON h.currencyrateid = r.currencyrateid
-LEFT JOIN customer c ON h.customerid = c.c_custkey AND {_SURVEYED} AND c.c_nationkey <> 3
+LEFT JOIN customer c ON h.customerid = c.c_custkey AND c_acctbal >= 0 AND c.c_nationkey <> 3
 QUALIFY shipdatekey IS NOT NULL AND customerkey IS NOT NULL AND productkey IS NOT NULL"""),
     "resold": (["salesorderheader", "salesorderdetail", "product", "currencyrate", "customer", "employee"], f"""
 SELECT {_KEYS}, CAST(substring(a.accountnumber, 3) AS BIGINT) + 1 AS resellerkey,
@@ -74,26 +74,35 @@ JOIN src_product p ON d.productid = p.productid
 LEFT JOIN src_currencyrate r ON h.currencyrateid = r.currencyrateid
 LEFT JOIN src_customer a ON c.storeid = a.storeid AND a.personid IS NULL
 QUALIFY resellerkey IS NOT NULL"""),
-    "quarter_region": (["internet", "salesterritory"], """
-SELECT year(orderdate) AS "año", quarter(orderdate) AS trimestre, territorygroup AS region_mundo,
-  CAST(sum(exact_amount) AS DOUBLE) AS total_ventas
-FROM internet JOIN src_salesterritory ON salesterritorykey = territoryid + 1 GROUP BY ALL"""),
-    "by_month": (["internet"], """
-SELECT year(orderdate) AS "año", month(orderdate) AS mes, monthname(orderdate) AS nombre_mes,
-  sum(exact_amount) AS exact
-FROM internet GROUP BY ALL"""),
-    "by_channel": (["internet", "resold"], """
-SELECT 'Internet' AS canal, CAST(sum(exact_amount) AS DOUBLE) AS total_ventas FROM internet
+    "sold": ([], """
+SELECT o_orderdate, o_orderstatus, o_orderpriority, o_custkey, l_discount,
+  CAST(CAST(l_extendedprice AS DECIMAL(15,2)) * CAST(l_quantity AS INT)
+    * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(19,4)) AS amount
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""),
+    "quarter_region": (["sold"], """
+SELECT year(o_orderdate) AS "año", quarter(o_orderdate) AS trimestre, r_name AS region_mundo,
+  CAST(sum(amount) AS DOUBLE) AS total_ventas
+FROM sold JOIN nation ON o_custkey % 25 = n_nationkey JOIN region ON n_regionkey = r_regionkey
+WHERE o_orderstatus <> 'P' GROUP BY ALL"""),
+    "by_month": (["sold"], """
+SELECT year(o_orderdate) AS "año", month(o_orderdate) AS mes, monthname(o_orderdate) AS nombre_mes,
+  sum(amount) AS exact
+FROM sold WHERE o_orderstatus <> 'P' GROUP BY ALL"""),
+    "by_channel": (["sold"], """
+SELECT 'Internet' AS canal, CAST(sum(amount) AS DOUBLE) AS total_ventas FROM sold WHERE o_orderstatus <> 'P'
 UNION ALL
-SELECT 'Tiendas/Reseller', CAST(sum(exact_amount) AS DOUBLE) FROM resold"""),
-    "by_promotion": (["resold", "specialoffer"], """
-SELECT description AS promocion, type AS tipo, category AS categoria,
-  CAST(sum(exact_amount) AS DOUBLE) AS total_ventas
-FROM resold JOIN src_specialoffer ON promotionkey = specialofferid + 1 GROUP BY ALL"""),
-    "by_store": (["resold"], """
-SELECT year(orderdate) AS "año", quarter(orderdate) AS trimestre, monthname(orderdate) AS mes,
-  month(orderdate) AS monthnumberofyear, s_name AS tienda, sum(exact_amount) AS exact
-FROM resold JOIN supplier ON resellerkey = s_suppkey + 1 GROUP BY ALL"""),
+SELECT 'Tiendas/Reseller', CAST(sum(amount) AS DOUBLE) FROM sold WHERE o_orderpriority <> '5-LOW'"""),
+    "by_promotion": (["sold"], """
+SELECT 'Offer ' || id AS promocion,
+  CASE WHEN id = 0 THEN 'No Discount' WHEN id < 6 THEN 'Volume' ELSE 'Season' END AS tipo,
+  CASE WHEN id < 4 THEN 'Customer' ELSE 'Reseller' END AS categoria,
+  CAST(sum(amount) AS DOUBLE) AS total_ventas
+FROM (SELECT CAST(round(l_discount * 100) AS INT) AS id, amount FROM sold WHERE o_orderpriority <> '5-LOW')
+GROUP BY ALL"""),
+    "by_store": (["sold"], """
+SELECT year(o_orderdate) AS "año", quarter(o_orderdate) AS trimestre, monthname(o_orderdate) AS mes,
+  month(o_orderdate) AS monthnumberofyear, s_name AS tienda, sum(amount) AS exact
+FROM sold JOIN supplier ON o_custkey // 15 = s_suppkey WHERE o_orderpriority <> '5-LOW' GROUP BY ALL"""),
     "best_stores": (["by_store"], """
 SELECT tienda, sum(exact) AS exact,
   row_number() OVER (ORDER BY sum(exact) DESC, tienda) AS place
@@ -348,8 +357,9 @@ WHERE f.totalchildren IS NOT NULL""", "customer", "person", "emailaddress", "add
         "fact_internet_sales": _columns("internet", "customerkey", _FACT_COLUMNS),
         "fact_reseller_sales": _columns("resold", "resellerkey", "employeekey", _FACT_COLUMNS),
         "fact_sales_reason": _with("""
-SELECT h.salesordernumber, s.salesreasonid + 1 AS salesreasonkey, '2026-01-01' AS saved,
-  row_number() OVER (PARTITION BY h.salesordernumber, s.salesreasonid) AS salesorderlinenumber
+SELECT h.salesordernumber, CASE WHEN s.salesreasonid < 6 THEN s.salesreasonid + 1 END AS salesreasonkey,
+  '2026-01-01' AS saved, CASE WHEN s.salesreasonid < 6
+    THEN row_number() OVER (PARTITION BY h.salesordernumber, s.salesreasonid) END AS salesorderlinenumber
 FROM src_salesorderheader h JOIN lineitem ON h.salesorderid = l_orderkey
 JOIN src_salesorderheadersalesreason b ON h.salesorderid = b.salesorderid
 JOIN src_salesreason s ON b.salesreasonid = s.salesreasonid""",
@@ -364,7 +374,7 @@ JOIN src_product p ON d.productid = p.productid
 JOIN src_productsubcategory s ON p.productsubcategoryid = s.productsubcategoryid
 JOIN src_productcategory t ON s.productcategoryid = t.productcategoryid
 JOIN customer ON h.customerid = c_custkey
-WHERE {_SURVEYED} AND c_nationkey <> 3""",
+WHERE c_acctbal >= 0 AND c_nationkey <> 3""",
             "salesorderheader", "salesorderdetail", "product", "productsubcategory", "productcategory"),
         "fact_sales_quota": f"""
 SELECT s_suppkey + 1 AS employeekey, {_key('ts')} AS datekey, year(ts) AS calendaryear,

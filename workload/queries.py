@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable, Iterator, Mapping
-from functools import cached_property
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,90 +15,21 @@ from kontor.functions.calendar import date_key
 from kontor.functions.survey import with_individual_survey, with_store_survey
 from kontor.operators import integrity, loading, numbering
 from kontor.operators.columns import conform, since
-from kontor.operators.dedupe import latest_per_key
 from kontor.operators.lookup import PLACE, lookup_composite, translate
 from kontor.operators.reporting import share_of_total
 from kontor.plans import datamart, dimensions, facts, finance, reports
 from kontor.plans.warehouse import Warehouse
 from kontor.session import configure
-from kontor.sources.retail import RetailSource
+from kontor.sources.retail import RetailSource, RetailStar
 from kontor.sources.tables import export_csv, load_tables, replace_table
 from kontor.streaming.incremental import load_stream
 
 LOAD_DATE = dt.date(2026, 1, 1)
 HALFWAY = dt.datetime(1998, 1, 1)
+CALENDAR = ("1995-01-01", "2001-12-31")
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
 
-class Star(Mapping):
-    """Dimensions with a key made from the alternate key, instead of loaded ones."""
-
-    def __init__(self, src: RetailSource):
-        self.src = src
-
-    def _geography(self) -> DataFrame:
-        digit = F.substring("postalcode", 2, 10).cast("bigint")
-        return dimensions.geographies(self.src).withColumn(
-            "geographykey", F.col("salesterritorykey") * 10 + digit
-        )
-
-    def _employees(self) -> DataFrame:
-        """One row per employee: the post that began last."""
-        return latest_per_key(
-            dimensions.employees(self.src, self["dimsalesterritory"]),
-            ["employeenationalidalternatekey"], "startdate",
-        )
-
-    @cached_property
-    def _tables(self) -> dict[str, Callable[[], DataFrame]]:
-        src = self.src
-
-        def numbered(rows: DataFrame, alternate: str, key: str, prefix: int = 0) -> DataFrame:
-            number = F.substring(alternate, prefix + 1, 20) if prefix else F.col(alternate)
-            return rows.withColumn(key, number.cast("bigint") + 1)
-
-        return {
-            "dimdate": lambda: dimensions.dates_covering(src["salesorderheader"], "orderdate"),
-            "dimproductcategory": lambda: numbered(
-                dimensions.product_categories(src), "productcategoryalternatekey", "productcategorykey"),
-            "dimproductsubcategory": lambda: numbered(
-                dimensions.product_subcategories(src), "productsubcategoryalternatekey", "productsubcategorykey"),
-            "dimproduct": lambda: numbered(
-                dimensions.products(src), "productalternatekey", "productkey", 3),
-            "dimsalesterritory": lambda: numbered(
-                dimensions.sales_territories(src), "salesterritoryalternatekey", "salesterritorykey"),
-            "dimgeography": self._geography,
-            "dimcustomer": lambda: numbered(
-                dimensions.customers(src), "customeralternatekey", "customerkey", 2),
-            "dimpromotion": lambda: numbered(
-                dimensions.promotions(src), "promotionalternatekey", "promotionkey"),
-            "dimcurrency": lambda: dimensions.currencies(src).withColumn(
-                "currencykey", F.ascii("currencyalternatekey").cast("bigint")),
-            "dimemployee": lambda: numbered(
-                self._employees(), "employeenationalidalternatekey", "employeekey", 3),
-            "dimreseller": lambda: numbered(
-                dimensions.resellers(src, self["dimgeography"]), "reselleralternatekey", "resellerkey", 2),
-            "dimsalesreason": lambda: numbered(
-                dimensions.sales_reasons(src), "salesreasonalternatekey", "salesreasonkey"),
-        }
-
-    def __getitem__(self, name: str) -> DataFrame:
-        return self._tables[name]()
-
-    def __iter__(self) -> Iterator[str]:
-        return iter(self._tables)
-
-    def __len__(self) -> int:
-        return len(self._tables)
-
-    # Reports do not read the line number, so nothing is numbered for them.
-    def internet(self) -> DataFrame:
-        return facts.internet_sales(self.src, self, load_date=LOAD_DATE, group_limit=None)
-
-    def resellers(self) -> DataFrame:
-        return facts.reseller_sales(self.src, self, load_date=LOAD_DATE, group_limit=None)
-
-
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles and dates as text, for comparison across engines."""
     shown = []
@@ -119,7 +49,7 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared}/{name}-{uuid.uuid4().hex}"
 
 
-Query = Callable[[RetailSource, Star], DataFrame]
+Query = Callable[[RetailSource, RetailStar], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
@@ -130,105 +60,113 @@ def query(function: Query) -> Query:
 
 # Reports.
 
-def quarter_region(src: RetailSource, star: Star) -> DataFrame:
+def calendar(star: RetailStar) -> DataFrame:
+    return dimensions.dates(star.spark, *CALENDAR)
+
+
+def quarter_region(star: RetailStar) -> DataFrame:
     return reports.sales_by_quarter_region(
-        star.internet(), star["dimdate"], star["dimsalesterritory"]
+        star["factinternetsales"], calendar(star), star["dimsalesterritory"]
     )
 
 
-def by_month(src: RetailSource, star: Star) -> DataFrame:
-    return reports.sales_by_month(star.internet(), star["dimdate"])
+def by_month(star: RetailStar) -> DataFrame:
+    return reports.sales_by_month(star["factinternetsales"], calendar(star))
+
 
+def by_channel(star: RetailStar) -> DataFrame:
+    return reports.sales_by_channel(star["factinternetsales"], star["factresellersales"])
 
-def by_promotion(src: RetailSource, star: Star) -> DataFrame:
-    return reports.promotions_by_sales(star.resellers(), star["dimpromotion"])
 
+def by_promotion(star: RetailStar) -> DataFrame:
+    return reports.promotions_by_sales(star["factresellersales"], star["dimpromotion"])
 
-def by_store(src: RetailSource, star: Star) -> DataFrame:
+
+def by_store(star: RetailStar) -> DataFrame:
     return reports.store_sales_by_month(
-        star.resellers(), star["dimdate"], star["dimreseller"]
+        star["factresellersales"], calendar(star), star["dimreseller"]
     )
 
 
 @query
 def sales_by_quarter_region(src, star):
-    return quarter_region(src, star)
+    return quarter_region(star)
 
 
 @query
 def sales_pivot_region(src, star):
-    return reports.region_pivot(quarter_region(src, star), REGIONS)
+    return reports.region_pivot(quarter_region(star), REGIONS)
 
 
 @query
 def region_values(src, star):
-    return reports.regions(quarter_region(src, star))
+    return reports.regions(quarter_region(star))
 
 
 @query
 def region_trend(src, star):
-    return reports.region_trend(quarter_region(src, star))
+    return reports.region_trend(quarter_region(star))
 
 
 @query
 def sales_by_month(src, star):
-    return by_month(src, star)
+    return by_month(star)
 
 
 @query
 def month_trend(src, star):
-    return reports.month_trend(by_month(src, star))
+    return reports.month_trend(by_month(star))
 
 
 @query
 def sales_by_month_all_years(src, star):
-    return reports.sales_by_month_all_years(by_month(src, star))
+    return reports.sales_by_month_all_years(by_month(star))
 
 
 @query
 def sales_by_channel(src, star):
-    return reports.sales_by_channel(star.internet(), star.resellers())
+    return by_channel(star)
 
 
 @query
 def channel_share(src, star):
-    return reports.channel_share(reports.sales_by_channel(star.internet(), star.resellers()))
+    return reports.channel_share(by_channel(star))
 
 
 @query
 def promotions_by_sales(src, star):
-    return by_promotion(src, star)
+    return by_promotion(star)
 
 
 @query
 def top10_promotions(src, star):
-    return reports.top_promotions(by_promotion(src, star))
+    return reports.top_promotions(by_promotion(star))
 
 
 @query
 def store_sales_month(src, star):
-    return by_store(src, star)
+    return by_store(star)
 
 
 @query
 def store_preview(src, star):
-    return reports.store_preview(by_store(src, star))
+    return reports.store_preview(by_store(star))
 
 
 @query
 def top5_stores(src, star):
-    return reports.top_stores(by_store(src, star))
+    return reports.top_stores(by_store(star))
 
 
 @query
 def top5_store_quarters(src, star):
-    return reports.top_store_quarters(by_store(src, star))
+    return reports.top_store_quarters(by_store(star))
 
 
 @query
 def store_quarter_pivot(src, star):
     """Columns are the places 1 to 5 of the stores, the same at every scale."""
-    report = by_store(src, star)
+    report = by_store(star)
     top = reports.top_stores(report)
     places = numbering.assign_keys(
         top, [F.col(reports.SALES).desc(), F.col(reports.STORE)], "place"
@@ -242,7 +180,7 @@ def store_quarter_pivot(src, star):
 
 @query
 def dim_date(src, star):
-    return star["dimdate"]
+    return dimensions.dates_covering(src["salesorderheader"], "orderdate")
 
 
 @query
@@ -345,26 +283,47 @@ def dim_organization(src, star):
     return finance.organizations(src, star["dimcurrency"]).drop("percentageofownership")
 
 
+def _mart(table: str, rows: DataFrame) -> DataFrame:
+    return datamart.mart_dimension(rows, datamart.MART_DIMENSIONS[f"dm_{table}"][1])
+
+
 @query
 def datamart_dim_product(src, star):
     """Keyed by subcategory here, so that keys repeat and some are null."""
     products = dimensions.products(src).withColumnRenamed("productsubcategorykey", "ProductKey")
-    return datamart.mart_dimension(products, datamart.MART_DIMENSIONS["dm_dimproduct"][1])
+    return _mart("dimproduct", products)
+
+
+@query
+def datamart_dim_reseller(src, star):
+    rows = dimensions.resellers(src, star["dimgeography"])
+    key = F.substring("reselleralternatekey", 3, 20).cast("bigint") + 1
+    return _mart("dimreseller", rows.withColumn("resellerkey", key))
 
 
-def _mart_query(name: str, table: str) -> None:
-    def run(src: RetailSource, star: Star) -> DataFrame:
-        return datamart.mart_dimension(star[table], datamart.MART_DIMENSIONS[f"dm_{table}"][1])
+@query
+def datamart_dim_sales_territory(src, star):
+    rows = dimensions.sales_territories(src)
+    key = F.col("salesterritoryalternatekey") + 1
+    return _mart("dimsalesterritory", rows.withColumn("salesterritorykey", key))
 
-    run.__name__ = name
-    query(run)
+
+@query
+def datamart_dim_currency(src, star):
+    rows = dimensions.currencies(src)
+    return _mart("dimcurrency", rows.withColumn("currencykey", F.ascii("currencyalternatekey")))
 
 
-_mart_query("datamart_dim_reseller", "dimreseller")
-_mart_query("datamart_dim_sales_territory", "dimsalesterritory")
-_mart_query("datamart_dim_currency", "dimcurrency")
-_mart_query("datamart_dim_promotion", "dimpromotion")
-_mart_query("datamart_dim_date", "dimdate")
+@query
+def datamart_dim_promotion(src, star):
+    rows = dimensions.promotions(src)
+    key = F.col("promotionalternatekey") + 1
+    return _mart("dimpromotion", rows.withColumn("promotionkey", key))
+
+
+@query
+def datamart_dim_date(src, star):
+    return _mart("dimdate", dimensions.dates_covering(src["salesorderheader"], "orderdate"))
 
 
 @query
@@ -373,13 +332,14 @@ def datamart_dim_employee(src, star):
     employees = dimensions.employees(src, star["dimsalesterritory"]).withColumn(
         "EmployeeKey", F.substring("employeenationalidalternatekey", 4, 20).cast("bigint")
     )
-    return datamart.mart_dimension(employees, datamart.MART_DIMENSIONS["dm_dimemployee"][1])
+    return _mart("dimemployee", employees)
 
 
 @query
 def datamart_reseller_sales(src, star):
     """The sales amount is taken away, so that it is derived again."""
-    return datamart.mart_reseller_sales(star.resellers().drop("salesamount", "salesorderlinenumber"))
+    fact = facts.reseller_sales(src, star, load_date=LOAD_DATE, group_limit=None)
+    return datamart.mart_reseller_sales(fact.drop("salesamount", "salesorderlinenumber"))
 
 
 # Sources, loading, checks.
@@ -397,7 +357,7 @@ def incremental_scan(src, star):
 def multi_table_read(src, star):
     """Rows of each given table."""
     names = ["customer", "orders", "lineitem", "events"]
-    tables = load_tables(src.given("orders").sparkSession, names, src.folder)
+    tables = load_tables(src.spark, names, src.folder)
     counts = [
         table.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("name"), "row_count")
         for name, table in tables.items()
@@ -431,7 +391,7 @@ def insert_only_new(src, star):
 @query
 def warehouse_load(src, star):
     """Earlier orders are loaded, then all: the second load adds the rest."""
-    spark = headers(src).sparkSession
+    spark = src.spark
     warehouse = Warehouse(spark, scratch(spark, "warehouse"))
     orders = headers(src).select("salesordernumber", "customerid", "taxamt", "orderdate")
     warehouse.load(
@@ -444,7 +404,7 @@ def warehouse_load(src, star):
 @query
 def warehouse_keys(src, star):
     """Keys of customers loaded in two parts: the first part keeps its keys."""
-    spark = headers(src).sparkSession
+    spark = src.spark
     warehouse = Warehouse(spark, scratch(spark, "warehouse"))
     renamed = src["customer"].select(
         F.col("accountnumber").alias("customeralternatekey"), "customerid", "storeid"
@@ -456,7 +416,7 @@ def warehouse_keys(src, star):
 
 @query
 def full_replace(src, star):
-    spark = headers(src).sparkSession
+    spark = src.spark
     path = scratch(spark, "replace")
     replace_table(src["product"].limit(0), path)
     replace_table(src["customer"].select("customerid", "accountnumber"), path)
@@ -467,7 +427,7 @@ def full_replace(src, star):
 
 @query
 def csv_roundtrip(src, star):
-    spark = headers(src).sparkSession
+    spark = src.spark
     written = src["product"].select("productid", "name", "color", "listprice", "finishedgoodsflag")
     path = export_csv(written, "products", scratch(spark, "csv"), sep=";")
     return spark.read.csv(path, header=True, sep=";", schema=written.schema)
@@ -477,7 +437,7 @@ def csv_roundtrip(src, star):
 def stream_insert_only_new(src, star):
     """Events arrive as a stream, some are loaded already."""
     events = src.given("events")
-    spark = events.sparkSession
+    spark = src.spark
     warehouse = Warehouse(spark, scratch(spark, "stream"))
     warehouse.load("events", events.filter(F.col("event_type") == "view"), ["event_id"])
     arriving = (
@@ -674,5 +634,4 @@ def fixed_layout(src, star):
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
     configure(spark)
-    src = RetailSource(spark, folder)
-    return plain(QUERIES[name](src, Star(src)))
+    return plain(QUERIES[name](RetailSource(spark, folder), RetailStar(spark, folder)))
