@@ -1,6 +1,6 @@
 """Output layouts as DDL texts.  Column order and names are fixed values."""
 
-MONEY = "DECIMAL(19,4)"
+MONEY = "DECIMAL(18,4)"
 
 DIM_DATE = """datekey INT, fulldatealternatekey TIMESTAMP_NTZ, daynumberofweek INT,
     englishdaynameofweek STRING, spanishdaynameofweek STRING, frenchdaynameofweek STRING,
