@@ -9,24 +9,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _key(df: DataFrame, keys: Sequence[str], like: DataFrame):
-    """The keys as one struct: structs are equal where nulls are, too."""
-    types = {field.name.lower(): field.dataType for field in like.schema}
-    return F.struct(*[df[name].cast(types[name.lower()]).alias(name) for name in keys])
-
-
 def insert_only_new(batch: DataFrame, existing: DataFrame | None, keys: Sequence[str]) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``existing``.
 
     Nulls match nulls.  Rows are compared with the target only: a new key the
-    batch holds twice stays twice.  The existing keys are made distinct first,
-    on the partitioning the join needs anyway, so that a hot key on that side
-    is one row.
+    batch holds twice stays twice.  A key the target holds often is reduced to
+    one row before it is shuffled; a key the batch holds often is split by
+    adaptive execution, which needs the distinct keys in an exchange of their
+    own.
     """
     if existing is None:
         return batch
-    known = existing.select(_key(existing, keys, batch).alias("_key")).distinct()
-    return batch.join(known, _key(batch, keys, batch) == known["_key"], "left_anti")
+    types = {field.name.lower(): field.dataType for field in batch.schema}
+    known = existing.select(
+        *[F.col(name).cast(types[name.lower()]).alias(name) for name in keys]
+    ).distinct()
+    # Structs are equal where their fields are, nulls included.
+    known = known.select(F.struct(*keys).alias("_key"))
+    return batch.join(known, F.struct(*[batch[name] for name in keys]) == known["_key"], "left_anti")
 
 
 def load_gate(
