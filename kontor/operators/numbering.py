@@ -31,18 +31,22 @@ def heavy_groups(df: DataFrame, keys: Sequence[str], limit: int = GROUP_LIMIT) -
     )
 
 
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def expand_copies(df: DataFrame, copies: str, out: str, limit: int = COPY_LIMIT) -> DataFrame:
     """Repeat each row ``copies`` times, numbered from 1 in ``out``.
 
     A row with many copies is first cut into ranges of at most ``limit``, which
-    are spread over the tasks.
+    are spread over the tasks.  The number of tasks is given: judged by their
+    size, the ranges would all be put into one.
     """
-    count = F.col(copies)
     ranges = df.withColumn(
-        "_range", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((count - 1) / limit)))
-    ).repartition(*df.columns, "_range")
+        "_range", F.explode(F.expr(f"sequence(0L, (`{copies}` - 1) DIV {limit})"))
+    ).repartition(_tasks(df), *df.columns, "_range")
     first = F.col("_range") * limit + 1
-    last = F.least(count.cast("bigint"), (F.col("_range") + 1) * limit)
+    last = F.least(F.col(copies).cast("bigint"), (F.col("_range") + 1) * limit)
     return ranges.withColumn(out, F.explode(F.sequence(first, last))).drop("_range")
 
 
@@ -59,9 +63,8 @@ def number_rows(df: DataFrame, order: Sequence, out: str, start=1) -> DataFrame:
         df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies")), "_copies", "_copy"
     )
     sorting = [*order, *[F.col(name).asc_nulls_last() for name in (*df.columns, "_copy")]]
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = stored(
-        copies.repartitionByRange(slices, *sorting)
+        copies.repartitionByRange(_tasks(df), *sorting)
         .sortWithinPartitions(*sorting)
         .select(*df.columns, F.monotonically_increasing_id().alias("_place"))
     )

@@ -242,27 +242,29 @@ def customers(src: Tables, since=None, dictionary: DataFrame | None = None) -> D
     stays null.  The address is the one whose id is the customer id, and
     ``geographykey`` is the id of the territory.
     """
+    # The survey is read and rows are dropped before any join: no exchange
+    # carries the XML text.
+    needed = ["birthdate", "maritalstatus", "yearlyincome", "totalchildren", "numberchildrenathome"]
     person = src["person"].filter(F.col("demographics").isNotNull()).drop(
         "persontype", "emailpromotion", "additionalcontactinfo"
     ).withColumnRenamed("businessentityid", "personid")
+    surveyed = with_individual_survey(person, "demographics").drop("demographics").na.drop(
+        "any", subset=needed
+    ).withColumn("yearlyincome", text.income_midpoint(F.col("yearlyincome")))
     email = src["emailaddress"].select(
         F.col("businessentityid").alias("personid"), "emailaddress"
     )
     address = src["address"].select(
         F.col("addressid").alias("customerid"), "addressline1", "addressline2"
     )
-    joined = (
+    named = (
         changed(src["customer"], since)
         .select("customerid", "personid", "territoryid", "accountnumber")
-        .join(person, "personid")
+        .join(surveyed, "personid")
         .join(email, "personid", "left")
         .join(address, "customerid", "left")
+        .withColumnsRenamed({"accountnumber": "customeralternatekey", "territoryid": "geographykey"})
     )
-    needed = ["birthdate", "maritalstatus", "yearlyincome", "totalchildren", "numberchildrenathome"]
-    surveyed = with_individual_survey(joined, "demographics").na.drop("any", subset=needed)
-    named = surveyed.withColumn(
-        "yearlyincome", text.income_midpoint(F.col("yearlyincome"))
-    ).withColumnsRenamed({"accountnumber": "customeralternatekey", "territoryid": "geographykey"})
     for what in ("education", "occupation"):
         named = _in_languages(named, what, dictionary)
     return conform(named, schemas.DIM_CUSTOMER)
@@ -296,10 +298,10 @@ def resellers(src: Tables, geography: DataFrame | None, since=None) -> DataFrame
     ``geography`` is the geography dimension with its surrogate key.  The order
     frequency comes from the business type code.
     """
-    store = src["store"].select(
+    store = with_store_survey(src["store"].select(
         F.col("businessentityid").alias("storeid"), F.col("name").alias("resellername"),
         "demographics",
-    )
+    ), "demographics").drop("demographics")
     place = src["businessentityaddress"].select(
         F.col("businessentityid").alias("storeid"), "addressid"
     )
@@ -324,17 +326,15 @@ def resellers(src: Tables, geography: DataFrame | None, since=None) -> DataFrame
         changed(src["customer"].filter(F.col("personid").isNull()), since)
         .select("storeid", F.col("accountnumber").alias("reselleralternatekey"), "modifieddate")
     )
-    candidates = accounts.join(located, "storeid", "left").select(
-        "reselleralternatekey", "modifieddate", "storeid", "resellername", "demographics",
-        "addressline1", "addressline2", "phone", "city", "postalcode",
+    candidates = accounts.join(located, "storeid", "left")
+    order = ["modifieddate", "storeid", "resellername", "addressline1", "addressline2", "phone", "city", "postalcode"]
+    first = first_per_key(
+        candidates, ["reselleralternatekey"], [F.col(name).asc_nulls_last() for name in order]
     )
-    first = first_per_key(candidates, ["reselleralternatekey"])
-    surveyed = with_store_survey(
-        first.join(order_years(src), "storeid", "left"), "demographics"
-    ).withColumns({
+    typed = first.join(order_years(src), "storeid", "left").withColumns({
         "businesstype": text.business_type(F.col("businesstypecode")),
         "orderfrequency": text.order_frequency(F.col("businesstypecode")),
     })
     return conform(
-        lookup_composite(surveyed, geography, PLACE, "geographykey"), schemas.DIM_RESELLER
+        lookup_composite(typed, geography, PLACE, "geographykey"), schemas.DIM_RESELLER
     )

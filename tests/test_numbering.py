@@ -77,6 +77,22 @@ def test_expand_copies(frame, limit):
     assert sorted(row.copy for row in found if row.k == "a") == list(range(1, 24))
 
 
+def test_ranges_of_copies_stay_spread(frame):
+    """Adaptive execution must not put the few, small ranges into one task."""
+    found = numbering.expand_copies(frame([("hot", 64_000)], "k STRING, n BIGINT"), "n", "copy", 1000)
+    tasks = found.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(tasks) > 4 and max(row["count"] for row in tasks) < 32_000
+
+
+def test_large_group_is_cut_into_slices(frame):
+    """A group of all rows is placed by several tasks."""
+    df = frame([("hot", n) for n in range(8000)], "k STRING, v INT")
+    found = numbering.number_within(df, ["k"], ["v"], "line")
+    placed = numbering.number_rows(df, ["k", "v"], "n")
+    assert placed.select(F.spark_partition_id()).distinct().count() > 4
+    assert found.filter("line <> v + 1").isEmpty()
+
+
 def test_surrogate_keys_survive_a_second_action(frame):
     """The keyed rows are stored: reading them again gives the same keys."""
     df = frame([(i % 10,) for i in range(500)], "a INT")
