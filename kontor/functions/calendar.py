@@ -32,7 +32,7 @@ def weekday_number(day: Column) -> Column:
 
 
 def _name(names: list[str], position: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(name) for name in names]), position)
+    return F.split_part(F.lit(",".join(names)), F.lit(","), position)
 
 
 def day_name(day: Column, language: str = "english") -> Column:

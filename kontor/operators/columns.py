@@ -53,8 +53,14 @@ def copy_columns(df: DataFrame, copies: Mapping[str, str]) -> DataFrame:
 
 
 def since(df: DataFrame, moment=None, column: str = "modifieddate") -> DataFrame:
-    """Rows changed at or after ``moment``; all rows when it is None."""
-    return df if moment is None else df.filter(F.col(column) >= F.lit(moment))
+    """Rows changed at or after ``moment``; all rows when it is None.
+
+    A date or time is read in the type of the column, whatever the time zones
+    of the session and the machine.
+    """
+    if moment is None:
+        return df
+    return df.filter(F.col(column) >= F.lit(str(moment)).cast(df.schema[column].dataType))
 
 
 def computed_once(df: DataFrame, *columns: Column) -> DataFrame:

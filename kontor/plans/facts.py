@@ -95,6 +95,17 @@ def _lines(src: Tables, dims: Tables, detail: DataFrame, product_join: str) -> D
     )
 
 
+def _heavy_orders(detail: DataFrame, group_limit: int | None) -> DataFrame | None:
+    """Orders with more lines than ``group_limit``, or None if there are none.
+
+    The number of all lines, which Parquet knows, often answers that already.
+    """
+    if group_limit is None or detail.count() <= group_limit:
+        return None
+    heavy = stored(heavy_groups(detail, ["salesorderid"], group_limit))
+    return None if heavy.isEmpty() else heavy
+
+
 def _numbered(
     headers: DataFrame,
     detail: DataFrame,
@@ -114,11 +125,10 @@ def _numbered(
         names = _LINE_ORDER + [name for name in rows.columns if name not in _LINE_ORDER]
         return [F.col(name).asc_nulls_last() for name in names if name not in _ORDER]
 
-    heavy = None if group_limit is None else heavy_groups(detail, ["salesorderid"], group_limit)
-    if heavy is None or heavy.isEmpty():
+    heavy = _heavy_orders(detail, group_limit)
+    if heavy is None:
         rows = joined(headers, detail)
         return line_number(rows, _ORDER, order(rows), _NUMBER)
-    heavy = stored(heavy)
     light = joined(
         headers.join(heavy, "salesorderid", "left_anti"),
         detail.join(heavy, "salesorderid", "left_anti"),

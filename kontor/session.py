@@ -38,19 +38,23 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as the session names it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is not None:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return f"{tempfile.gettempdir()}/kontor"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it from there.
 
     Needed where a result depends on how rows were partitioned: a recomputed
     partition could otherwise differ from the one already used.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="kontor-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

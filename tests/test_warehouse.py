@@ -128,7 +128,7 @@ def test_incremental_load(spark, src, tmp_path):
     warehouse = jobs.Warehouse(spark, str(tmp_path))
     moment = dt.datetime(1998, 1, 1)
     orders = src["salesorderheader"]
-    warehouse.load("orders", orders.filter(F.col("orderdate") < F.lit(moment)), ["salesorderid"])
+    warehouse.load("orders", orders.filter(F.col("orderdate") < F.lit(str(moment)).cast("timestamp_ntz")), ["salesorderid"])
     from kontor.operators.columns import since
     warehouse.load("orders", since(orders, dt.datetime(1997, 6, 1)), ["salesorderid"])
     assert warehouse["orders"].count() == orders.count()

@@ -481,6 +481,11 @@ SELECT *, row_number() OVER (PARTITION BY l_orderkey
         "line_numbers_large_groups": f"""
 SELECT *, row_number() OVER (PARTITION BY l_returnflag
   ORDER BY l_orderkey, {lines}, l_linestatus, l_shipdate) AS line FROM lineitem""",
+        "parent_accounts": _with("""
+SELECT c.customerid, c.accountnumber,
+  CASE WHEN c.personid IS NOT NULL THEN 'RS' || c.storeid END AS parentnumber, a.customerid AS parentid
+FROM src_customer c LEFT JOIN src_customer a
+  ON c.personid IS NOT NULL AND a.personid IS NULL AND a.storeid = c.storeid""", "customer"),
         "dedupe_composite": """
 SELECT c_custkey AS addressid, c_nationkey * 10 + CAST(substring(c_name, 18) AS INT) AS geographykey
 FROM customer""",

@@ -6,20 +6,20 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kontor.functions import text
 from kontor.functions.calendar import date_key
 from kontor.functions.survey import with_individual_survey, with_store_survey
-from kontor.operators import integrity, loading, numbering
+from kontor.operators import hierarchy, integrity, loading, numbering
 from kontor.operators.columns import conform, since
 from kontor.operators.lookup import PLACE, lookup_composite, translate
 from kontor.operators.reporting import share_of_total
 from kontor.plans import datamart, dimensions, facts, finance, reports
 from kontor.plans.warehouse import Warehouse
-from kontor.session import configure
+from kontor.session import configure, shared_folder
 from kontor.sources.retail import RetailSource, RetailStar
 from kontor.sources.tables import export_csv, load_tables, replace_table
 from kontor.streaming.incremental import load_stream
@@ -30,6 +30,10 @@ CALENDAR = ("1995-01-01", "2001-12-31")
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
 
+def halfway() -> Column:
+    return F.lit(str(HALFWAY)).cast("timestamp_ntz")
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles and dates as text, for comparison across engines."""
     shown = []
@@ -44,9 +48,8 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder next to the checkpoints, which all executors share."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/kontor"
-    return f"{shared}/{name}-{uuid.uuid4().hex}"
+    """A new folder next to the checkpoints."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 Query = Callable[[RetailSource, RetailStar], DataFrame]
@@ -384,7 +387,7 @@ def insert_only_new(src, star):
     orders = headers(src).select(
         "salesordernumber", "purchaseordernumber", "customerid", "orderdate"
     )
-    existing = orders.filter(F.col("orderdate") < F.lit(HALFWAY))
+    existing = orders.filter(F.col("orderdate") < halfway())
     return loading.insert_only_new(orders, existing, ["purchaseordernumber", "customerid"])
 
 
@@ -395,7 +398,7 @@ def warehouse_load(src, star):
     warehouse = Warehouse(spark, scratch(spark, "warehouse"))
     orders = headers(src).select("salesordernumber", "customerid", "taxamt", "orderdate")
     warehouse.load(
-        "orders", orders.filter(F.col("orderdate") < F.lit(HALFWAY)), ["salesordernumber"]
+        "orders", orders.filter(F.col("orderdate") < halfway()), ["salesordernumber"]
     )
     warehouse.load("orders", orders, ["salesordernumber"])
     return warehouse["orders"]
@@ -453,14 +456,14 @@ def stream_insert_only_new(src, star):
 @query
 def has_new_fact_data(src, star):
     """The gate of the orders, with the load date as a share of the history."""
-    loaded = headers(src).withColumn("saved", F.to_date(F.lit(HALFWAY)))
+    loaded = headers(src).withColumn("saved", F.to_date(halfway()))
     return loading.load_gate(loaded)
 
 
 @query
 def source_is_newer(src, star):
     orders = headers(src)
-    loaded = orders.filter(F.col("orderdate") < F.lit(HALFWAY))
+    loaded = orders.filter(F.col("orderdate") < halfway())
     return loading.source_gate(orders, loaded, "modifieddate")
 
 
@@ -521,6 +524,17 @@ def line_numbers_large_groups(src, star):
     return numbering.number_within(lines, ["l_returnflag"], order, "line")
 
 
+@query
+def parent_accounts(src, star):
+    """Customers with the key of their store's account, by a join with themselves."""
+    accounts = src["customer"].select(
+        "customerid", "accountnumber",
+        F.when(F.col("personid").isNotNull(), F.concat(F.lit("RS"), F.col("storeid").cast("string")))
+        .alias("parentnumber"),
+    )
+    return hierarchy.parent_key(accounts, "parentnumber", "accountnumber", "customerid", "parentid")
+
+
 @query
 def dedupe_composite(src, star):
     """Geography keys of addresses by city and postal code, written otherwise."""
