@@ -21,10 +21,6 @@ def normalized(column: Column) -> Column:
     return F.lower(strip(column))
 
 
-def blank_to_null(column: Column) -> Column:
-    return F.when(strip(column) != "", column)
-
-
 def full_name(first: Column, last: Column) -> Column:
     """First and last name around one space; a missing part counts as empty."""
     return F.concat(F.coalesce(first, F.lit("")), F.lit(" "), F.coalesce(last, F.lit("")))

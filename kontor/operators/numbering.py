@@ -31,6 +31,19 @@ def heavy_groups(df: DataFrame, keys: Sequence[str], limit: int = GROUP_LIMIT) -
     )
 
 
+def large_groups(
+    df: DataFrame, keys: Sequence[str], limit: int | None = GROUP_LIMIT
+) -> DataFrame | None:
+    """``heavy_groups``, stored, or None if there are none or no limit is given.
+
+    The number of all rows, which Parquet knows, often answers that already.
+    """
+    if limit is None or df.count() <= limit:
+        return None
+    heavy = stored(heavy_groups(df, keys, limit))
+    return None if heavy.isEmpty() else heavy
+
+
 def _tasks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -110,7 +123,7 @@ def line_number(
     """Running number of each row inside its group, null where a key is null.
 
     ``heavy`` holds the keys of groups too large for one task (see
-    ``heavy_groups``); they are numbered across tasks.
+    ``large_groups``); they are numbered across tasks.
     """
     known = F.lit(True)
     for name in partition:

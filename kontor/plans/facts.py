@@ -26,9 +26,8 @@ from kontor.operators.columns import since as changed
 from kontor.operators.loading import stamp
 from kontor.operators.lookup import lookup_key
 from kontor.operators.numbering import (
-    COPY_LIMIT, GROUP_LIMIT, expand_copies, heavy_groups, line_number, number_within,
+    COPY_LIMIT, GROUP_LIMIT, expand_copies, large_groups, line_number, number_within,
 )
-from kontor.session import stored
 
 Tables = Mapping[str, DataFrame]
 
@@ -95,17 +94,6 @@ def _lines(src: Tables, dims: Tables, detail: DataFrame, product_join: str) -> D
     )
 
 
-def _heavy_orders(detail: DataFrame, group_limit: int | None) -> DataFrame | None:
-    """Orders with more lines than ``group_limit``, or None if there are none.
-
-    The number of all lines, which Parquet knows, often answers that already.
-    """
-    if group_limit is None or detail.count() <= group_limit:
-        return None
-    heavy = stored(heavy_groups(detail, ["salesorderid"], group_limit))
-    return None if heavy.isEmpty() else heavy
-
-
 def _numbered(
     headers: DataFrame,
     detail: DataFrame,
@@ -125,7 +113,7 @@ def _numbered(
         names = _LINE_ORDER + [name for name in rows.columns if name not in _LINE_ORDER]
         return [F.col(name).asc_nulls_last() for name in names if name not in _ORDER]
 
-    heavy = _heavy_orders(detail, group_limit)
+    heavy = large_groups(detail, ["salesorderid"], group_limit)
     if heavy is None:
         rows = joined(headers, detail)
         return line_number(rows, _ORDER, order(rows), _NUMBER)
@@ -274,9 +262,6 @@ def internet_sales_reasons(
 def survey_responses(src: Tables, dims: Tables, since=None) -> DataFrame:
     """What surveyed customers bought: one row per order date, customer,
     category and subcategory.
-
-    Lines are reduced to the subcategories of their order before the headers
-    are joined.
     """
     subcategories = src["productsubcategory"].select("productsubcategoryid", "productcategoryid")
     categories = src["productcategory"].select("productcategoryid")
@@ -286,7 +271,7 @@ def survey_responses(src: Tables, dims: Tables, since=None) -> DataFrame:
     )
     bought = (
         src["salesorderdetail"].select("salesorderid", "productid").join(products, "productid")
-        .select("salesorderid", "productcategoryid", "productsubcategoryid").distinct()
+        .select("salesorderid", "productcategoryid", "productsubcategoryid")
     )
     surveyed = src["person"].filter(F.col("demographics").isNotNull()).select(
         F.col("businessentityid").alias("personid")

@@ -1,6 +1,7 @@
 """Output layouts as DDL texts.  Column order and names are fixed values."""
 
-MONEY = "DECIMAL(18,4)"
+# Six decimals, as line totals and discounts have; eighteen digits fit in eight bytes.
+MONEY = "DECIMAL(18,6)"
 
 DIM_DATE = """datekey INT, fulldatealternatekey TIMESTAMP_NTZ, daynumberofweek INT,
     englishdaynameofweek STRING, spanishdaynameofweek STRING, frenchdaynameofweek STRING,

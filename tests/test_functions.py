@@ -53,7 +53,6 @@ def test_full_name(frame):
 
 def test_normalized_and_labels(frame):
     assert mapped(frame, text.normalized, [" Seattle\t", None]) == ["seattle", None]
-    assert mapped(frame, text.blank_to_null, [" ", "x"]) == [None, "x"]
     df = frame([(2001, 3)], "y INT, q INT")
     row = df.select(text.quarter_label(F.col("y"), F.col("q")),
                     text.month_label(F.col("y"), F.lit("May"))).first()

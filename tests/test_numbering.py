@@ -38,6 +38,14 @@ def test_heavy_groups(frame):
     assert values(numbering.heavy_groups(df, ["k"], 60)) == [("hot",)]
 
 
+def test_large_groups(frame):
+    df = lines(frame, {"hot": 400, "cold": 3})
+    assert values(numbering.large_groups(df, ["k"], 60)) == [("hot",)]
+    assert numbering.large_groups(df, ["k"], 400) is None
+    assert numbering.large_groups(df, ["k"], 10**6) is None
+    assert numbering.large_groups(df, ["k"], None) is None
+
+
 def test_line_number_of_a_null_key_is_null(frame):
     df = frame([("a", 1), (None, 2), (None, 3)], "k STRING, v INT")
     found = numbering.line_number(df, ["k"], ["v"], "line")

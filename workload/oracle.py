@@ -339,6 +339,9 @@ def oracle_sql() -> dict[str, str]:
         "dim_sales_territory": _columns("territory_rows"),
         "dim_geography": _columns("geography"),
         "dim_employee": _columns("employee_rows"),
+        "latest_employees": _with("""
+SELECT * FROM employee_rows QUALIFY row_number() OVER (PARTITION BY employeenationalidalternatekey
+  ORDER BY payfrequency DESC NULLS LAST) = 1""", "employee_rows"),
         "dim_customer": _with("""
 SELECT c.accountnumber AS customeralternatekey, c.territoryid AS geographykey, p.namestyle, p.title,
   p.firstname, p.middlename, p.lastname, p.suffix, m.emailaddress, a.addressline1, a.addressline2,

@@ -15,6 +15,7 @@ from kontor.functions.calendar import date_key
 from kontor.functions.survey import with_individual_survey, with_store_survey
 from kontor.operators import hierarchy, integrity, loading, numbering
 from kontor.operators.columns import conform, since
+from kontor.operators.dedupe import latest_per_key
 from kontor.operators.lookup import PLACE, lookup_composite, translate
 from kontor.operators.reporting import share_of_total
 from kontor.plans import datamart, dimensions, facts, finance, reports
@@ -231,6 +232,13 @@ def dim_employee(src, star):
     return dimensions.employees(src, star["dimsalesterritory"])
 
 
+@query
+def latest_employees(src, star):
+    """One row per employee: the pay record that sorts last."""
+    rows = dimensions.employees(src, star["dimsalesterritory"])
+    return latest_per_key(rows, ["employeenationalidalternatekey"], "payfrequency")
+
+
 @query
 def dim_customer(src, star):
     return dimensions.customers(src)
@@ -512,7 +520,7 @@ def surrogate_keys_of_copies(src, star):
 def line_numbers(src, star):
     lines = src.given("lineitem")
     order = [F.col(name) for name in lines.columns if name != "l_orderkey"]
-    heavy = numbering.heavy_groups(lines, ["l_orderkey"])
+    heavy = numbering.large_groups(lines, ["l_orderkey"])
     return numbering.line_number(lines, ["l_orderkey"], order, "line", heavy)
 
 
