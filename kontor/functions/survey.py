@@ -39,9 +39,6 @@ _OPTIONS = {
     "nullValue": "\x00",
     "columnNameOfCorruptRecord": _CORRUPT,
 }
-_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")]
-
-
 def _parsed(xml: Column, elements: list[str]) -> Column:
     """Direct child elements as text lists, and the text itself if malformed."""
     fields = [T.StructField(name, T.ArrayType(T.StringType())) for name in elements]
@@ -70,24 +67,27 @@ def well_formed(xml: Column) -> Column:
     return xml.isNotNull() & corrupt.isNull() & xml.rlike(r">\s*$")
 
 
+# Parts of an XML document: attributes of an opening tag, and plain text.
+_ATTRIBUTES = r"""(?:\s+[^\s=<>]+\s*=\s*(?:"[^"]*"|'[^']*'))*\s*"""
+_TEXT = r"((?:[^<]++|<!\[CDATA\[.*?\]\]>)*+)"
+
+
 def _last_text(xml: Column, suffixes: str) -> Column:
     """Last non-blank text of elements whose name ends with a suffix.
 
     The name is compared without prefix and in any case, at any depth.
     """
-    opening = rf"(?is)<[^\s<>/!?]*(?:{suffixes})(?:\s(?:[^<>]*[^<>/])?)?>([^<]*)"
-    texts = F.regexp_extract_all(xml, F.lit(opening), F.lit(1))
+    element = rf"(?is)<[^\s<>/!?]*(?:{suffixes}){_ATTRIBUTES}>{_TEXT}"
+    texts = F.regexp_extract_all(xml, F.lit(element), F.lit(1))
     last = F.try_element_at(F.filter(texts, lambda text: strip(text) != ""), F.lit(-1))
-    for entity, character in _ENTITIES:
-        last = F.replace(last, F.lit(entity), F.lit(character))
-    return strip(last)
+    decoded = _parsed(F.concat(F.lit("<r><t>"), last, F.lit("</t></r>")), ["t"])["t"]
+    return strip(F.when(last.rlike("[&<]"), F.get(decoded, F.lit(0))).otherwise(last))
 
 
 def with_store_survey(df: DataFrame, xml: str) -> DataFrame:
     """Add the fields of a store survey; malformed text gives nulls only."""
-    text = F.regexp_replace(F.col(xml), r"(?s)<!--.*?-->", "")
-    text = F.regexp_replace(text, r"(?s)<!\[CDATA\[([^<]*?)\]\]>", "$1")
-    clean = F.when(well_formed(F.col(xml)), text)
+    uncommented = F.regexp_replace(F.col(xml), r"(?s)<!--.*?-->", "")
+    clean = F.when(well_formed(F.col(xml)), uncommented)
     survey = F.col("_survey")
     return computed_once(
         computed_once(df, clean.alias("_survey")),

@@ -121,6 +121,7 @@ def test_store_survey(frame):
         "<S><Specialty>Road</Specialty><ProductLine>Mountain</ProductLine></S>",
         "<S><!-- <BankName>hidden</BankName> --><BankName x='1'><![CDATA[Bank]]></BankName></S>",
         "<S><TotalAnnualSales>$5</TotalAnnualSales><AnnualSales a='/'/>9</S>",
+        "<S><BankName a='>'>v &#233; &amp;amp; <![CDATA[a<b]]></BankName></S>",
         "<S><BankName>A</S>", "<S><BankName>A</BankName></S> tail", "text", None,
     )
     assert (rows[0].annualrevenue, rows[0].productline) == (1000.5, "Road")
@@ -130,10 +131,21 @@ def test_store_survey(frame):
     assert rows[4].productline == "Mountain"
     assert rows[5].bankname == "Bank"
     assert rows[6].annualsales == 5.0
-    for row in rows[7:]:
+    assert rows[7].bankname == "v é &amp; a<b"
+    for row in rows[8:]:
         assert row.bankname is None and row.annualsales is None
 
 
+@pytest.mark.parametrize("document", [
+    "<a>&foo;</a>", "<a b=1></a>", "<a/><b/>", "<a>\x00</a>", "<1a/>", "&", "<", "<a",
+    "<?xml version='1.0' encoding='utf-16'?><a/>", "<!DOCTYPE a><a/>", "<a" * 2000, "<a>" * 500,
+])
+def test_no_text_stops_a_job(frame, document):
+    ours = f"{document}<!-- {NAMESPACE} -->"
+    assert individual(frame, document, ours)[1].birthdate is None
+    assert store(frame, document, ours)[1].bankname is None
+
+
 @pytest.mark.parametrize("document", ["<a/>", "<a>1</a>", " <a>1</a>\n", "<?xml version='1.0'?><a/>"])
 def test_well_formed(frame, document):
     assert mapped(frame, survey.well_formed, [document]) == [True]
