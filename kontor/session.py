@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,7 +32,6 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = configure(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
@@ -49,12 +49,24 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it from there.
+    """Write ``df`` below the shared folder and read it from there.
 
     Needed where a result depends on how rows were partitioned: a recomputed
-    partition could otherwise differ from the one already used.
+    partition could otherwise differ from the one already used.  Later steps
+    read only the columns they use.  ``discard_stored`` removes what one
+    application has written.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{_stored_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard_stored(spark: SparkSession) -> None:
+    """Remove the results ``stored`` has written for this application."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_stored_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _stored_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/kontor-{spark.sparkContext.applicationId}"

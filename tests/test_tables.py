@@ -3,6 +3,7 @@
 import pytest
 from conftest import SMALL, values
 
+from kontor import session
 from kontor.sources import tables
 from kontor.streaming.incremental import load_stream
 from kontor.plans.warehouse import Warehouse
@@ -43,6 +44,20 @@ def test_csv_keeps_separators_quotes_and_letters(spark, tmp_path):
     assert values(back, "i", "t") == [(1, "a;b"), (2, 'say "x"'), (3, "año")]
 
 
+def test_stored_results_are_read_back_and_discarded(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    kept = session.stored(spark.range(5))
+    assert kept.count() == 5 and len(list(tmp_path.iterdir())) == 1
+    session.discard_stored(spark)
+    assert not list(tmp_path.iterdir())
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    assert session.shared_folder(spark)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert named is None or session.shared_folder(spark) == named.rstrip("/")
+
+
 def test_jdbc_options():
     whole = tables.jdbc_read_options("jdbc:x", "sales.orders", properties={"user": "u"})
     assert whole == {"user": "u", "url": "jdbc:x", "dbtable": "sales.orders"}
