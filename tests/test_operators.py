@@ -1,9 +1,12 @@
 """Operators on their edge cases."""
 
 import datetime as dt
+from collections import Counter
 
 import pytest
 from conftest import values
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from kontor.operators import columns, hierarchy, integrity, loading, reporting
@@ -69,6 +72,19 @@ def test_insert_only_new(frame):
     assert loading.insert_only_new(batch, None, ["a", "b"]).count() == 5
 
 
+_KEYS = st.lists(
+    st.tuples(st.sampled_from([None, 1, 2, 3]), st.sampled_from([None, "", "x"])), max_size=12
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(_KEYS, _KEYS)
+def test_insert_only_new_of_any_keys(frame, incoming, present):
+    layout = "a INT, b STRING"
+    found = loading.insert_only_new(frame(incoming, layout), frame(present, layout), ["a", "b"])
+    assert Counter(map(tuple, found.collect())) == Counter(key for key in incoming if key not in present)
+
+
 def test_insert_only_new_across_number_types(frame):
     batch, existing = frame([(1,), (2,)], "k INT"), frame([(2,)], "k BIGINT")
     assert values(loading.insert_only_new(batch, existing, ["k"])) == [(1,)]
