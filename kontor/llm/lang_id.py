@@ -39,6 +39,8 @@ CHARS = 1024
 LETTERS = 100
 LANGUAGES = 16
 BLOCK = 4096
+#: Characters that are parsed together; a longer text in pieces.  This bounds memory.
+TOGETHER = 2_000_000
 NO_LANGUAGE = "und"
 
 # Codes of characters in a parse: a gap, a letter that no sample has, then letters.
@@ -47,24 +49,29 @@ _GAP, _OTHER = 0, 1
 
 def training_sample(
     labelled: DataFrame, text: str, lang: str, rows: int = ROWS, chars: int = CHARS
-) -> DataFrame:
-    """lang, sample: at most ``rows`` windows of ``chars`` characters per language."""
+) -> list[tuple[str, str]]:
+    """(lang, sample): at most ``rows`` windows of ``chars`` characters per language."""
     usable = labelled.filter(named(text).isNotNull() & named(lang).isNotNull()).select(
         named(lang).alias("lang"), named(text).alias("text")
     ).select("*", F.xxhash64("text").alias("mark"))
-    chosen = usable.groupBy(
-        F.col("lang").alias("of"), F.pmod(F.col("mark"), F.lit(rows)).alias("slot")
-    ).agg(F.min("mark").alias("least")).drop("slot")
+    most = LANGUAGES * rows
+    chosen = (
+        usable.groupBy("lang", F.pmod(F.col("mark"), F.lit(rows)).alias("slot"))
+        .agg(F.min("mark").alias("mark")).select("lang", "mark").limit(most + 1).collect()
+    )
+    if len(chosen) > most or len({row["lang"] for row in chosen}) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
     spare = F.greatest(F.length("text") - chars, F.lit(0)) + 1
-    return (
-        usable.join(chosen, (F.col("lang") == F.col("of")) & (F.col("mark") == F.col("least")))
-        .select(
-            "lang", "mark",
-            F.substr("text", (1 + F.pmod(F.col("mark"), spare)).cast("int"), F.lit(chars))
-            .alias("sample"),
-        )
-        .dropDuplicates(["lang", "mark"])
+    # A table of known, small size, so the texts needn't be shuffled to meet it.
+    windows = usable.join(
+        labelled.sparkSession.createDataFrame(chosen, "lang string, mark bigint"), ["lang", "mark"]
+    ).select(
+        "lang", "mark",
+        F.substr("text", (1 + F.pmod(F.col("mark"), spare)).cast("int"), F.lit(chars))
+        .alias("sample"),
     )
+    found = windows.groupBy("lang", "mark").agg(F.min("sample").alias("sample")).collect()
+    return sorted((row["lang"], row["sample"]) for row in found)
 
 
 def plain(text: str) -> str:
@@ -153,9 +160,8 @@ class Model:
         lanes = len(self.languages)
         flat = np.frombuffer(" ".join(t or "" for t in texts).encode("utf-32-le"), dtype="<u4")
         sizes = np.fromiter((len(t or "") for t in texts), dtype=np.int64, count=len(texts))
-        ends = np.cumsum(sizes + 1)
         codes = self.codes[flat]
-        owner = np.repeat(np.arange(len(texts)), sizes + 1)[:len(codes)]
+        owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes + 1)[:len(codes)]
         # Gaps shrink to one, and go at the start and the end of a text.
         letter = codes != _GAP
         keep = letter.copy()
@@ -166,7 +172,7 @@ class Model:
         closing = (lengths > 0) & (codes[np.maximum(last, 0)] == _GAP) if len(codes) else (
             np.zeros(len(texts), dtype=bool)
         )
-        del flat, ends, letter
+        del flat, letter
         starts = np.cumsum(lengths) - lengths
         lengths = lengths - closing
         blocks = -(-lengths // BLOCK)
@@ -191,9 +197,26 @@ class Model:
             total[lane] = np.bincount(of, weights=ended[lane], minlength=len(texts))
         return total.T, lengths
 
+    def _add(self, total, lengths, owners: list[int], pieces: list[str]) -> None:
+        if pieces:
+            phrases, sizes = self.phrases(pieces)
+            np.add.at(total, owners, phrases)
+            np.add.at(lengths, owners, sizes)
+
     def predict(self, texts: list[str | None]) -> pd.DataFrame:
         """lang_pred, score, entropy (bits a letter, by the best language)."""
-        total, lengths = self.phrases(texts)
+        total = np.zeros((len(texts), len(self.languages)), dtype=np.int64)
+        lengths = np.zeros(len(texts), dtype=np.int64)
+        owners, pieces, held = [], [], 0
+        for at, text in enumerate(texts):
+            for begin in range(0, len(text or ""), TOGETHER):
+                owners.append(at)
+                pieces.append(text[begin:begin + TOGETHER])
+                held += len(pieces[-1])
+                if held >= TOGETHER:
+                    self._add(total, lengths, owners, pieces)
+                    owners, pieces, held = [], [], 0
+        self._add(total, lengths, owners, pieces)
         known = lengths > 0
         lang = np.full(len(texts), NO_LANGUAGE, dtype=object)
         score, entropy = np.zeros(len(texts)), np.zeros(len(texts))
@@ -209,13 +232,9 @@ class Model:
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """A model from rows with a text and a language."""
-    sample = training_sample(labelled, text, lang).select("lang", "sample")
-    rows = sample.limit(LANGUAGES * ROWS + 1).collect()  # bounded by rows and windows
-    if len({row["lang"] for row in rows}) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
     samples: dict[str, list[str]] = {}
-    for row in sorted(rows):
-        samples.setdefault(row["lang"], []).append(row["sample"])
+    for name, sample in training_sample(labelled, text, lang):
+        samples.setdefault(name, []).append(sample)
     return Model(samples)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kontor.llm import (
-    exact_dedup, knn, lang_id, mixing, packing, pii, sharding, simhash, url_filter,
+    exact_dedup, knn, lang_id, lm_score, mixing, packing, pii, sharding, simhash, url_filter,
 )
 
 SHARDS = 16
@@ -42,6 +42,11 @@ def every(key: str, n: int) -> Column:
     return F.pmod(F.col(key), F.lit(n)) == 0
 
 
+@query
+def op1_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_score.scores(read(spark, folder, "documents"))
+
+
 @query
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return lang_id.identified(read(spark, folder, "documents"))

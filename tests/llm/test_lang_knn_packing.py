@@ -151,7 +151,10 @@ def test_words_are_encoded_as_in_their_text():
 
     encoder = packing.Encoder(queries.tokenizer_path())
     assert encoder.by_word
-    texts = ["It's ΣΑΣ ΟΔΟΣ, don't!", "a\u0301 \u0301x <|endoftext|>y\u00a0z", "", " \x0b\x1f\x85 q\u2003r ", "12 3.4..5 'Re"]
+    draw = random.Random(1)
+    signs = "aAéÉßñÑœ.,'-1 \n\tİıŉǅǆªºΣς!<|>\u0301"
+    texts = ["".join(draw.choice(signs) for _ in range(draw.randint(0, 30))) for _ in range(3000)]
+    texts += ["It's ΣΑΣ ΟΔΟΣ, don't!", "a\u0301 \u0301x <|endoftext|>y\u00a0z", "", " \x0b\x1f\x85 q\u2003r ", "12 3.4..5 'Re"]
     ids, sizes = encoder.encode(pa.array(texts))
     want = [encoder.one(text) for text in texts]
     assert sizes.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
