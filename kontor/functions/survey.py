@@ -1,17 +1,25 @@
-"""XML survey documents as columns, without leaving the JVM.
+"""XML survey documents as columns.
 
-Element names of individual surveys are matched as Spark matches column names,
-in any case unless ``spark.sql.caseSensitive`` is set.
+Surveys are told apart by namespaces: of elements, of prefixes, of documents that
+declare them at some inner element.  Spark's XML functions don't resolve
+namespaces, so documents pass a parser that does, in Arrow batches, once per row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import sys
+from collections.abc import Iterator
+from xml.etree import ElementTree
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from kontor.functions.text import money, strip
-from kontor.operators.columns import computed_once
+from kontor.functions.text import money
+
+# The parsers travel to the executors by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # The namespace of individual surveys, and element -> column.
 INDIVIDUAL_NAMESPACE = (
@@ -32,70 +40,94 @@ INDIVIDUAL_FIELDS = {
     "DateFirstPurchase": "datefirstpurchase",
 }
 
-_CORRUPT = "_corrupt"
-_OPTIONS = {
-    "ignoreNamespace": "true",
-    "ignoreSurroundingSpaces": "false",
-    "nullValue": "\x00",
-    "columnNameOfCorruptRecord": _CORRUPT,
+# Ending of an element's name -> field of a store survey.
+STORE_FIELDS = {
+    "annualrevenue": "annualrevenue",
+    "yearopened": "yearopened",
+    "bankname": "bankname",
+    "annualsales": "annualsales",
+    "numberemployees": "numberemployees",
+    "specialty": "productline",
+    "productline": "productline",
+    "businesstype": "businesstypecode",
 }
-def _parsed(xml: Column, elements: list[str]) -> Column:
-    """Direct child elements as text lists, and the text itself if malformed."""
-    fields = [T.StructField(name, T.ArrayType(T.StringType())) for name in elements]
-    schema = T.StructType([*fields, T.StructField(_CORRUPT, T.StringType())])
-    return F.from_xml(xml, schema, _OPTIONS)
-
 
-def with_individual_survey(df: DataFrame, xml: str) -> DataFrame:
-    """Add the twelve text columns of an individual survey.
 
-    A missing element is null, an empty one is the empty text.  Text that is
-    not well-formed, or belongs to another namespace, gives nulls only.  Of a
-    repeated element the first counts.
-    """
-    ours = F.when(F.col(xml).contains(INDIVIDUAL_NAMESPACE), F.col(xml))
-    parsed = df.select("*", F.inline(F.array(_parsed(ours, list(INDIVIDUAL_FIELDS)))))
-    return parsed.select(
-        *df.columns,
-        *[F.get(element, F.lit(0)).alias(name) for element, name in INDIVIDUAL_FIELDS.items()],
+def _root(document: str | None) -> ElementTree.Element | None:
+    """The root of a well-formed document, else None."""
+    if not document:
+        return None
+    try:
+        return ElementTree.fromstring(document)
+    except (ElementTree.ParseError, ValueError, LookupError):
+        return None
+
+
+def _children(document: str | None) -> dict[str, str]:
+    """Text of the direct children in the survey's namespace, of each name the first."""
+    found: dict[str, str] = {}
+    root = _root(document)
+    for child in root if root is not None else ():
+        space, _, name = child.tag[1:].rpartition("}")
+        if space == INDIVIDUAL_NAMESPACE:
+            found.setdefault(name, child.text or "")
+    return found
+
+
+def _endings(document: str | None) -> dict[str, str]:
+    """Last text that isn't blank of the elements at any depth, by ending of the name."""
+    found: dict[str, str] = {}
+    root = _root(document)
+    for element in root.iter() if root is not None else ():
+        text = (element.text or "").strip()
+        name = element.tag.lower()
+        field = next((field for end, field in STORE_FIELDS.items() if name.endswith(end)), None)
+        if text and field:
+            found[field] = text
+    return found
+
+
+def _parsed(df: DataFrame, xml: str, parse, keys: dict[str, str]) -> DataFrame:
+    """Adds a text column for each of ``keys`` (key of the parse: column)."""
+
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            rows = [parse(document) for document in part]
+            yield pd.DataFrame(
+                {name: [row.get(key) for row in rows] for key, name in keys.items()}, dtype=object
+            )
+
+    fields = ", ".join(f"{name} string" for name in keys.values())
+    # Not deterministic, so that no filter repeats the parse.
+    survey = F.pandas_udf(run, fields).asNondeterministic()
+    return df.select("*", survey(F.col(xml)).alias("_survey")).select(
+        *df.columns, *[F.col("_survey")[name].alias(name) for name in keys.values()]
     )
 
 
-def well_formed(xml: Column) -> Column:
-    """True for XML text with nothing behind its root element."""
-    corrupt = _parsed(xml, ["Survey"])[_CORRUPT]
-    return xml.isNotNull() & corrupt.isNull() & xml.rlike(r">\s*$")
-
+def with_individual_survey(df: DataFrame, xml: str) -> DataFrame:
+    """Add the twelve text columns of an individual survey.
 
-# Parts of an XML document: attributes of an opening tag, and plain text.
-_ATTRIBUTES = r"""(?:\s+[^\s=<>]+\s*=\s*(?:"[^"]*"|'[^']*'))*\s*"""
-_TEXT = r"((?:[^<]++|<!\[CDATA\[.*?\]\]>)*+)"
+    A missing element is null, an empty one is the empty text.  Names and namespace must be
+    exact.  Text that is not well-formed gives nulls only.  Of a repeated element
+    the first counts, and of an element with inner ones the text before them.
+    """
+    return _parsed(df, xml, _children, INDIVIDUAL_FIELDS)
 
 
-def _last_text(xml: Column, suffixes: str) -> Column:
-    """Last non-blank text of elements whose name ends with a suffix.
+def with_store_survey(df: DataFrame, xml: str) -> DataFrame:
+    """Add the fields of a store survey; malformed text gives nulls only.
 
-    The name is compared without prefix and in any case, at any depth.
+    Names are compared by their ending, in any case, at any depth.
     """
-    element = rf"(?is)<[^\s<>/!?]*(?:{suffixes}){_ATTRIBUTES}>{_TEXT}"
-    texts = F.regexp_extract_all(xml, F.lit(element), F.lit(1))
-    last = F.try_element_at(F.filter(texts, lambda text: strip(text) != ""), F.lit(-1))
-    decoded = _parsed(F.concat(F.lit("<r><t>"), last, F.lit("</t></r>")), ["t"])["t"]
-    return strip(F.when(last.rlike("[&<]"), F.get(decoded, F.lit(0))).otherwise(last))
+    names = list(dict.fromkeys(STORE_FIELDS.values()))
+    numbers = {"yearopened": "int", "numberemployees": "int"}
 
+    def shown(name: str):
+        text = F.col(name)
+        if name in ("annualrevenue", "annualsales"):
+            return money(text).alias(name)
+        return text.try_cast(numbers[name]).alias(name) if name in numbers else text
 
-def with_store_survey(df: DataFrame, xml: str) -> DataFrame:
-    """Add the fields of a store survey; malformed text gives nulls only."""
-    uncommented = F.regexp_replace(F.col(xml), r"(?s)<!--.*?-->", "")
-    clean = F.when(well_formed(F.col(xml)), uncommented)
-    survey = F.col("_survey")
-    return computed_once(
-        computed_once(df, clean.alias("_survey")),
-        money(_last_text(survey, "annualrevenue")).alias("annualrevenue"),
-        _last_text(survey, "yearopened").try_cast("int").alias("yearopened"),
-        _last_text(survey, "bankname").alias("bankname"),
-        money(_last_text(survey, "annualsales")).alias("annualsales"),
-        _last_text(survey, "numberemployees").try_cast("int").alias("numberemployees"),
-        _last_text(survey, "specialty|productline").alias("productline"),
-        _last_text(survey, "businesstype").alias("businesstypecode"),
-    ).drop("_survey")
+    texts = _parsed(df, xml, _endings, {name: name for name in names})
+    return texts.select(*df.columns, *[shown(name) for name in names])

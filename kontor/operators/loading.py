@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def insert_only_new(batch: DataFrame, existing: DataFrame | None, keys: Sequence[str]) -> DataFrame:
@@ -20,13 +21,28 @@ def insert_only_new(batch: DataFrame, existing: DataFrame | None, keys: Sequence
     """
     if existing is None:
         return batch
-    types = {field.name.lower(): field.dataType for field in batch.schema}
+    types = _common_types(batch, existing, keys)
     known = existing.select(
-        *[F.col(name).cast(types[name.lower()]).alias(name) for name in keys]
+        *[F.col(name).cast(kind).alias(name) for name, kind in zip(keys, types, strict=True)]
     ).distinct()
     # Structs are equal where their fields are, nulls included.
     known = known.select(F.struct(*keys).alias("_key"))
-    return batch.join(known, F.struct(*[batch[name] for name in keys]) == known["_key"], "left_anti")
+    own = F.struct(*[
+        batch[name].cast(kind).alias(name) for name, kind in zip(keys, types, strict=True)
+    ])
+    return batch.join(known, own == known["_key"], "left_anti")
+
+
+def _common_types(batch: DataFrame, existing: DataFrame, keys: Sequence[str]) -> list[T.DataType]:
+    """Of each key the type both sides are compared in: of two numeric types the
+    one that holds both, else the batch's."""
+    found = []
+    for name in keys:
+        sides = [df.select(name).limit(0) for df in (batch, existing)]
+        kinds = [side.schema[0].dataType for side in sides]
+        numeric = all(isinstance(kind, T.NumericType) for kind in kinds)
+        found.append(sides[0].union(sides[1]).schema[0].dataType if numeric else kinds[0])
+    return found
 
 
 def load_gate(

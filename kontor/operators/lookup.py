@@ -78,23 +78,26 @@ PLACE = {"city": normalized, "postalcode": strip}
 
 
 def translate(
-    df: DataFrame, source: str, target: str, dictionary: DataFrame | None, language: str
+    df: DataFrame, source: str, targets: Mapping[str, str], dictionary: DataFrame | None
 ) -> DataFrame:
-    """Add ``target``, the translation of ``source``; untranslated text stays.
+    """Add translations of ``source``, a column per language (``language: column``);
+    untranslated text stays.
 
-    ``dictionary`` has the columns text, lang and translated.  Without one,
-    ``target`` is a copy.
+    ``dictionary`` has the columns text, lang and translated.  It is read and grouped once
+    for all languages.  Without one, the new columns are copies.
     """
     if dictionary is None:
-        return df.withColumn(target, F.col(source))
-    entries = first_per_key(
-        dictionary.filter(F.col("lang") == language).select(
-            F.col("text").alias("_text"), F.col("translated").alias("_translated")
-        ),
-        ["_text"],
-        ["_translated"],
-    )
+        return df.withColumns({target: F.col(source) for target in targets.values()})
+    entries = dictionary.filter(F.col("lang").isin(*targets)).groupBy(
+        F.col("text").alias("_text")
+    ).agg(*[
+        F.min(F.when(F.col("lang") == language, F.col("translated"))).alias(f"_{language}")
+        for language in targets
+    ])
     return df.join(entries, df[source] == entries["_text"], "left").select(
         *[df[name] for name in df.columns],
-        F.coalesce(F.col("_translated"), df[source]).alias(target),
+        *[
+            F.coalesce(F.col(f"_{language}"), df[source]).alias(target)
+            for language, target in targets.items()
+        ],
     )

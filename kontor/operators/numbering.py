@@ -4,58 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kontor.session import stored
 
-# Rows of one group that a single task may sort, and copies of one row that a
-# single task may write out.
-GROUP_LIMIT = 2_000_000
+# Copies of one row that a single task may write out.
 COPY_LIMIT = 1_000_000
 
 # monotonically_increasing_id holds the partition above this bit.
 _SLICE_BIT = 33
 
 
-def heavy_groups(df: DataFrame, keys: Sequence[str], limit: int = GROUP_LIMIT) -> DataFrame:
-    """Keys of the groups with more than ``limit`` rows.
-
-    Counts are combined before the shuffle, so a hot key costs one row per
-    task.  There are at most ``rows / limit`` such keys.
-    """
-    return (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > limit)
-        .drop("_rows")
-    )
-
-
-def large_groups(
-    df: DataFrame, keys: Sequence[str], limit: int | None = GROUP_LIMIT
-) -> DataFrame | None:
-    """``heavy_groups``, stored, or None if there are none or no limit is given.
-
-    The number of all rows, which Parquet knows, often answers that already.
-    """
-    if limit is None or df.count() <= limit:
-        return None
-    heavy = stored(heavy_groups(df, keys, limit))
-    return None if heavy.isEmpty() else heavy
-
-
 def _tasks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def expand_copies(df: DataFrame, copies: str, out: str, limit: int = COPY_LIMIT) -> DataFrame:
-    """Repeat each row ``copies`` times, numbered from 1 in ``out``.
+    """Repeat each row ``copies`` times, numbered from 1 in ``out``; never for 0.
 
     A row with many copies is first cut into ranges of at most ``limit``, which
     are spread over the tasks.  The number of tasks is given: judged by their
     size, the ranges would all be put into one.
     """
-    ranges = df.withColumn(
+    ranges = df.filter(F.col(copies) > 0).withColumn(
         "_range", F.explode(F.expr(f"sequence(0L, (`{copies}` - 1) DIV {limit})"))
     ).repartition(_tasks(df), *df.columns, "_range")
     first = F.col("_range") * limit + 1
@@ -66,18 +38,17 @@ def expand_copies(df: DataFrame, copies: str, out: str, limit: int = COPY_LIMIT)
 def number_rows(df: DataFrame, order: Sequence, out: str, start=1) -> DataFrame:
     """Consecutive numbers from ``start`` in the given order.
 
-    The remaining columns break ties, and equal rows are told apart by a copy
-    number, so range partitioning spreads any distribution.  The positions are
-    stored before the offsets of the slices are added: both must see the same
-    partitioning even if an executor is lost in between.  ``start`` may be a
-    column without reference to rows, such as a scalar subquery.
+    The remaining columns break ties, and equal rows are told apart by where
+    they were read, so range partitioning spreads any distribution with one
+    exchange.  The positions are stored before the offsets of the slices are added: both
+    must see the same partitioning even if an executor is lost in between.
+    ``start`` may be a column without reference to rows, such as a scalar
+    subquery.
     """
-    copies = expand_copies(
-        df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies")), "_copies", "_copy"
-    )
-    sorting = [*order, *[F.col(name).asc_nulls_last() for name in (*df.columns, "_copy")]]
+    sorting = [*order, *[F.col(name).asc_nulls_last() for name in (*df.columns, "_read")]]
     placed = stored(
-        copies.repartitionByRange(_tasks(df), *sorting)
+        df.withColumn("_read", F.monotonically_increasing_id())
+        .repartitionByRange(_tasks(df), *sorting)
         .sortWithinPartitions(*sorting)
         .select(*df.columns, F.monotonically_increasing_id().alias("_place"))
     )
@@ -101,36 +72,53 @@ def assign_keys(df: DataFrame, order: Sequence, out: str, start: int = 1) -> Dat
     return numbered.select(out, *df.columns)
 
 
+def _known(keys: Sequence[str]) -> Column:
+    known = F.lit(True)
+    for name in keys:
+        known = known & F.col(name).isNotNull()
+    return known
+
+
+def _without_number(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    """The rows with a null key: they have no number, and are never brought together."""
+    return df.filter(~_known(keys)).withColumn(out, F.lit(None).cast("int"))
+
+
 def number_within(df: DataFrame, partition: Sequence[str], order: Sequence, out: str) -> DataFrame:
-    """Row numbers inside groups, for few groups of any size."""
-    numbered = number_rows(df, [*[F.col(name) for name in partition], *order], "_number")
+    """Row numbers inside groups, null where a key is null; for few groups of any size."""
+    keyed = df.filter(_known(partition))
+    numbered = number_rows(keyed, [*[F.col(name) for name in partition], *order], "_number")
     first = numbered.groupBy(*[F.col(name).alias(f"_{name}") for name in partition]).agg(
         F.min("_number").alias("_first")
     )
-    same = [numbered[name].eqNullSafe(first[f"_{name}"]) for name in partition]
+    same = [numbered[name] == first[f"_{name}"] for name in partition]
     return numbered.join(first, same, "inner").select(
         *df.columns, (F.col("_number") - F.col("_first") + 1).cast("int").alias(out)
-    )
+    ).unionByName(_without_number(df, partition, out))
 
 
 def line_number(
-    df: DataFrame,
-    partition: Sequence[str],
-    order: Sequence,
-    out: str,
-    heavy: DataFrame | None = None,
+    df: DataFrame, partition: Sequence[str], order: Sequence[str], out: str, split: int = 1
 ) -> DataFrame:
     """Running number of each row inside its group, null where a key is null.
 
-    ``heavy`` holds the keys of groups too large for one task (see
-    ``large_groups``); they are numbered across tasks.
+    ``order`` are column names, ascending, nulls last.  A group is numbered in parts: one
+    for each combination of its first ``split`` order columns, placed behind
+    the parts before it.  So a large group is spread over as many tasks as it has
+    parts, and only the sizes of its parts meet in one.
     """
-    known = F.lit(True)
-    for name in partition:
-        known = known & F.col(name).isNotNull()
-    if heavy is None:
-        place = F.row_number().over(Window.partitionBy(*partition).orderBy(*order))
-        return df.withColumn(out, F.when(known, place))
-    light = line_number(df.join(heavy, heavy.columns, "left_anti"), partition, order, out)
-    dense = number_within(df.join(heavy, heavy.columns, "left_semi"), partition, order, out)
-    return light.unionByName(dense)
+    keyed = df.filter(_known(partition)).withColumn("_part", F.struct(*partition, *order[:split]))
+    rest = [F.col(name).asc_nulls_last() for name in order[split:]] or [F.lit(1)]
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*rest))
+    before = Window.partitionBy(*[F.col("_of")[name] for name in partition]).orderBy(
+        *[F.col("_of")[name].asc_nulls_last() for name in order[:split]]
+    ).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = keyed.groupBy(F.col("_part").alias("_of")).agg(F.count(F.lit(1)).alias("_rows"))
+    offsets = sizes.select(
+        "_of", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
+    )
+    # Structs are equal where their fields are, nulls included.
+    numbered = keyed.withColumn("_inside", inside).join(offsets, F.col("_part") == F.col("_of"))
+    return numbered.select(
+        *df.columns, (F.col("_inside") + F.col("_offset")).cast("int").alias(out)
+    ).unionByName(_without_number(df, partition, out))

@@ -73,9 +73,8 @@ def calendar_rows(bounds: DataFrame) -> DataFrame:
 
 def _in_languages(df: DataFrame, what: str, dictionary: DataFrame | None) -> DataFrame:
     """Spanish and French versions of the English column ``what``."""
-    for language, prefix in (("es", "spanish"), ("fr", "french")):
-        df = translate(df, f"english{what}", f"{prefix}{what}", dictionary, language)
-    return df
+    targets = {"es": f"spanish{what}", "fr": f"french{what}"}
+    return translate(df, f"english{what}", targets, dictionary)
 
 
 def product_categories(src: Tables, since=None, dictionary: DataFrame | None = None) -> DataFrame:

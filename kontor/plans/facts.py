@@ -5,10 +5,9 @@ Each function takes the source tables by name and the loaded dimensions by name
 
 How the sales facts are laid out for scale: lookups that depend on the order
 are made on the order headers, and a product meets its surrogate key in the
-product table, so order lines are joined twice only (product, header).  Lines
-are numbered on the partitioning the header join leaves behind.  Orders too
-large for one task are found from the line table first and numbered across
-tasks.
+product table, so order lines are joined twice only (product, header).  A load of changed
+orders cuts the lines to these orders before anything else.  Lines are numbered
+per order number, in parts, so that a large order spreads over tasks.
 """
 
 from __future__ import annotations
@@ -25,9 +24,7 @@ from kontor.operators.columns import conform
 from kontor.operators.columns import since as changed
 from kontor.operators.loading import stamp
 from kontor.operators.lookup import lookup_key
-from kontor.operators.numbering import (
-    COPY_LIMIT, GROUP_LIMIT, expand_copies, large_groups, line_number, number_within,
-)
+from kontor.operators.numbering import COPY_LIMIT, expand_copies, line_number
 
 Tables = Mapping[str, DataFrame]
 
@@ -35,7 +32,6 @@ Tables = Mapping[str, DataFrame]
 DEFAULT_CURRENCY = "USD"
 FIRST_REVISION = 8
 
-_ORDER = ["salesorderid", "salesordernumber"]
 _NUMBER = "salesorderlinenumber"
 
 # Lines of one order are numbered by these columns first, then by all others.
@@ -94,40 +90,20 @@ def _lines(src: Tables, dims: Tables, detail: DataFrame, product_join: str) -> D
     )
 
 
-def _numbered(
-    headers: DataFrame,
-    detail: DataFrame,
-    lines: Callable[[DataFrame], DataFrame],
-    group_limit: int | None,
-) -> DataFrame:
-    """Order lines joined to their headers and numbered within the order.
+def _of_orders(detail: DataFrame, headers: DataFrame, cut: bool) -> DataFrame:
+    """The lines of the given orders; all lines if the orders weren't cut."""
+    if not cut:
+        return detail
+    return detail.join(headers.select("salesorderid").distinct(), "salesorderid", "left_semi")
 
-    An order number names one order, so lines are numbered per order id and
-    number: that needs no exchange after the join on the order id.
-    """
 
-    def joined(some_headers: DataFrame, some_detail: DataFrame) -> DataFrame:
-        return some_headers.join(lines(some_detail), "salesorderid")
-
-    def order(rows: DataFrame) -> list[Column]:
-        names = _LINE_ORDER + [name for name in rows.columns if name not in _LINE_ORDER]
-        return [F.col(name).asc_nulls_last() for name in names if name not in _ORDER]
-
-    heavy = large_groups(detail, ["salesorderid"], group_limit)
-    if heavy is None:
-        rows = joined(headers, detail)
-        return line_number(rows, _ORDER, order(rows), _NUMBER)
-    light = joined(
-        headers.join(heavy, "salesorderid", "left_anti"),
-        detail.join(heavy, "salesorderid", "left_anti"),
-    )
-    dense = joined(
-        headers.join(heavy, "salesorderid", "left_semi"),
-        detail.join(heavy, "salesorderid", "left_semi"),
-    )
-    return line_number(light, _ORDER, order(light), _NUMBER).unionByName(
-        number_within(dense, _ORDER, order(dense), _NUMBER)
-    )
+def _numbered(headers: DataFrame, lines: DataFrame) -> DataFrame:
+    """Order lines joined to their headers and numbered within the order number."""
+    rows = headers.join(lines, "salesorderid")
+    order = _LINE_ORDER + [
+        name for name in rows.columns if name not in (*_LINE_ORDER, "salesordernumber")
+    ]
+    return line_number(rows, ["salesordernumber"], order, _NUMBER, split=2)
 
 
 def internet_sales(
@@ -136,21 +112,20 @@ def internet_sales(
     since=None,
     load_date: dt.date | None = None,
     channel: Column | None = None,
-    group_limit: int | None = GROUP_LIMIT,
 ) -> DataFrame:
     """Internet sales, one row per order line with all keys and amounts known.
 
     All orders count unless ``channel``, a condition on the order header, says
-    otherwise.  ``group_limit=None`` skips the search for very large orders.
+    otherwise.
     """
     accounts = lookup_key(
         src["customer"].select("customerid", "accountnumber"),
         dims.get("dimcustomer"), "accountnumber", "customeralternatekey", "customerkey",
     ).select("customerid", "customerkey")
-    headers = changed(src["salesorderheader"], since)
+    orders = changed(src["salesorderheader"], since)
     if channel is not None:
-        headers = headers.filter(channel)
-    headers = headers.select(
+        orders = orders.filter(channel)
+    headers = orders.select(
         "salesorderid", "salesordernumber", "orderdate", "duedate", "shipdate", "taxamt",
         "freight", F.col("purchaseordernumber").alias("customerponumber"),
         "customerid", "territoryid", "currencyrateid",
@@ -163,10 +138,9 @@ def internet_sales(
         "orderdate", "duedate", "shipdate", "customerkey", "currencykey", "salesterritorykey",
         "salesordernumber", "taxamt", "freight",
     ])
-    numbered = _numbered(
-        headers, src["salesorderdetail"],
-        lambda detail: _lines(src, dims, detail, "left"), group_limit,
-    )
+    cut = since is not None or channel is not None
+    detail = _of_orders(src["salesorderdetail"], orders, cut)
+    numbered = _numbered(headers, _lines(src, dims, detail, "left"))
     complete = numbered.na.drop("any", subset=[
         "productkey", "promotionkey", "orderquantity", "unitprice", "extendedamount",
         "unitpricediscountpct", "discountamount", "productstandardcost", "totalproductcost",
@@ -183,7 +157,6 @@ def reseller_sales(
     dims: Tables,
     since=None,
     load_date: dt.date | None = None,
-    group_limit: int | None = GROUP_LIMIT,
 ) -> DataFrame:
     """Sales by an employee to a person who buys for a store with an account.
 
@@ -202,9 +175,9 @@ def reseller_sales(
         dims.get("dimemployee"),
         "nationalidnumber", "employeenationalidalternatekey", "employeekey",
     ).select("salespersonid", "employeekey")
+    orders = changed(src["salesorderheader"], since)
     headers = (
-        changed(src["salesorderheader"], since)
-        .select(
+        orders.select(
             "salesorderid", "salesordernumber", "orderdate", "duedate", "shipdate", "taxamt",
             "freight", F.col("purchaseordernumber").alias("customerponumber"),
             "customerid", "salespersonid", "territoryid", "currencyrateid",
@@ -217,10 +190,8 @@ def reseller_sales(
         "customerid", "salespersonid", "territoryid", "currencyrateid", "currency_bk"
     )
     headers = headers.na.drop("any", subset=["orderdate", "employeekey", "currencykey"])
-    numbered = _numbered(
-        headers, src["salesorderdetail"],
-        lambda detail: _lines(src, dims, detail, "inner"), group_limit,
-    )
+    detail = _of_orders(src["salesorderdetail"], orders, since is not None)
+    numbered = _numbered(headers, _lines(src, dims, detail, "inner"))
     # One order may have known and unknown resellers: dropped after numbering.
     complete = numbered.na.drop("any", subset=["productkey", "resellerkey"])
     return conform(
@@ -241,7 +212,9 @@ def internet_sales_reasons(
     end; no join ever sees the copies.
     """
     headers = changed(src["salesorderheader"], since).select("salesorderid", "salesordernumber")
-    counts = src["salesorderdetail"].groupBy("salesorderid").agg(F.count(F.lit(1)).alias("_lines"))
+    counts = _of_orders(src["salesorderdetail"], headers, since is not None).groupBy(
+        "salesorderid"
+    ).agg(F.count(F.lit(1)).alias("_lines"))
     bridge = src["salesorderheadersalesreason"].select("salesorderid", "salesreasonid")
     reasons = lookup_key(
         src["salesreason"].select("salesreasonid"), dims.get("dimsalesreason"),
@@ -269,8 +242,10 @@ def survey_responses(src: Tables, dims: Tables, since=None) -> DataFrame:
     products = src["product"].select("productid", "productsubcategoryid").join(
         classified, "productsubcategoryid"
     )
+    orders = changed(src["salesorderheader"], since)
     bought = (
-        src["salesorderdetail"].select("salesorderid", "productid").join(products, "productid")
+        _of_orders(src["salesorderdetail"], orders, since is not None)
+        .select("salesorderid", "productid").join(products, "productid")
         .select("salesorderid", "productcategoryid", "productsubcategoryid")
     )
     surveyed = src["person"].filter(F.col("demographics").isNotNull()).select(
@@ -281,9 +256,7 @@ def survey_responses(src: Tables, dims: Tables, since=None) -> DataFrame:
         .join(surveyed, "personid"),
         dims.get("dimcustomer"), "accountnumber", "customeralternatekey", "customerkey",
     ).select("customerid", "accountnumber", "customerkey")
-    headers = changed(src["salesorderheader"], since).select(
-        "salesorderid", "orderdate", "customerid"
-    ).join(accounts, "customerid")
+    headers = orders.select("salesorderid", "orderdate", "customerid").join(accounts, "customerid")
     answers = headers.join(bought, "salesorderid").select(
         "orderdate", "accountnumber", "customerkey", "productcategoryid", "productsubcategoryid"
     ).distinct()

@@ -99,7 +99,7 @@ class Warehouse(Mapping):
             last = None if existing is None else existing.agg(F.max(surrogate)).first()[0]
             order = [F.col(key).asc_nulls_last() for key in keys]
             fresh = assign_keys(fresh, order, surrogate, (last or 0) + 1)
-        return append(fresh, self.path(name))
+        return append(fresh, self.path(name), existing is not None)
 
     def gate(self, fact: str, date: str = "orderdate") -> bool:
         """Whether the fact should be loaded, by the dates it holds."""

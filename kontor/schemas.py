@@ -1,7 +1,7 @@
 """Output layouts as DDL texts.  Column order and names are fixed values."""
 
-# Six decimals, as line totals and discounts have; eighteen digits fit in eight bytes.
-MONEY = "DECIMAL(18,6)"
+# Eight decimals, as the product of two amounts with four has, and thirty digits before them.
+MONEY = "DECIMAL(38,8)"
 
 DIM_DATE = """datekey INT, fulldatealternatekey TIMESTAMP_NTZ, daynumberofweek INT,
     englishdaynameofweek STRING, spanishdaynameofweek STRING, frenchdaynameofweek STRING,

@@ -57,16 +57,17 @@ def stored(df: DataFrame) -> DataFrame:
     application has written.
     """
     spark = df.sparkSession
-    path = f"{_stored_folder(spark)}/{uuid.uuid4().hex}"
+    path = f"{application_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def discard_stored(spark: SparkSession) -> None:
     """Remove the results ``stored`` has written for this application."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_stored_folder(spark))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def _stored_folder(spark: SparkSession) -> str:
+def application_folder(spark: SparkSession) -> str:
+    """Where this application keeps intermediate results."""
     return f"{shared_folder(spark)}/kontor-{spark.sparkContext.applicationId}"

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from kontor.session import stored
+
 # Rows per statement when writing to a database.
 BATCH_ROWS = 5000
 
@@ -58,9 +60,17 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(rows, F.count(F.lit(1)).alias("rows")), rows
 
 
-def append(df: DataFrame, path: str) -> int:
-    """Append to a Parquet table; returns the number of rows."""
+def append(df: DataFrame, path: str, exists: bool = False) -> int:
+    """Append to a Parquet table; returns the number of rows.
+
+    A table that ``exists`` gets no file where there is no row: the rows are
+    stored first, so that nothing is computed twice to find out.
+    """
     observed, rows = counted(df)
+    if exists:
+        observed = stored(observed)
+        if not rows.get["rows"]:
+            return 0
     observed.write.mode("append").parquet(path)
     return rows.get["rows"]
 

@@ -106,6 +106,30 @@ def test_individual_survey(frame):
         assert all(row[name] is None for name in survey.INDIVIDUAL_FIELDS.values())
 
 
+def test_individual_survey_namespaces(frame):
+    foreign = "<IndividualSurvey xmlns='urn:other'><BirthDate>1966</BirthDate></IndividualSurvey>"
+    rows = individual(
+        frame,
+        f'<IndividualSurvey xmlns="{NAMESPACE}"><birthdate>1</birthdate></IndividualSurvey>',
+        foreign.replace("</", f"<!-- {NAMESPACE} --></", 1),
+        f'<IndividualSurvey xmlns="{NAMESPACE}/2"><BirthDate>1</BirthDate></IndividualSurvey>',
+        f'<IndividualSurvey xmlns="{NAMESPACE}"><o:BirthDate xmlns:o="urn:o">1</o:BirthDate></IndividualSurvey>',
+        f'<IndividualSurvey xmlns="{NAMESPACE}"><BirthDate xmlns="">1</BirthDate></IndividualSurvey>',
+        f'<p:IndividualSurvey xmlns:p="{NAMESPACE}"><p:BirthDate>x<b>y</b>z</p:BirthDate></p:IndividualSurvey>',
+        f'<Any><BirthDate xmlns="{NAMESPACE}">x</BirthDate></Any>',
+    )
+    assert [row.birthdate for row in rows] == [None] * 5 + ["x", "x"]
+
+
+def test_store_survey_documents(frame):
+    rows = store(
+        frame, "<S><BankName>A</BankName></S> <X/>",
+        "<S><Note><![CDATA[<BankName>no</BankName>]]></Note><BankName>A</BankName></S>",
+        "<S><Note><![CDATA[<BankName>no</BankName>]]></Note></S>", "<S>\n<BankName>A<b>c</b></BankName></S>\n",
+    )
+    assert [row.bankname for row in rows] == [None, "A", None, "A"]
+
+
 def store(frame, *documents):
     df = frame([(i, document) for i, document in enumerate(documents)], "i INT, x STRING")
     return survey.with_store_survey(df, "x").orderBy("i").collect()
@@ -144,8 +168,3 @@ def test_no_text_stops_a_job(frame, document):
     ours = f"{document}<!-- {NAMESPACE} -->"
     assert individual(frame, document, ours)[1].birthdate is None
     assert store(frame, document, ours)[1].bankname is None
-
-
-@pytest.mark.parametrize("document", ["<a/>", "<a>1</a>", " <a>1</a>\n", "<?xml version='1.0'?><a/>"])
-def test_well_formed(frame, document):
-    assert mapped(frame, survey.well_formed, [document]) == [True]

@@ -22,28 +22,35 @@ def expected_numbers(rows, key, order):
     return out
 
 
-@pytest.mark.parametrize("limit", [10**9, 50, 0])
-def test_line_number_with_large_groups(frame, limit):
+@pytest.mark.parametrize("split", [0, 1, 2])
+def test_line_number_with_large_groups(frame, split):
     df = lines(frame, {"hot": 400, "warm": 60, "cold": 3, "single": 1})
-    heavy = numbering.heavy_groups(df, ["k"], limit)
-    found = numbering.line_number(df, ["k"], [F.col("a"), F.col("b")], "line", heavy)
+    found = numbering.line_number(df, ["k"], ["a", "b"], "line", split)
     rows = [tuple(row) for row in df.collect()]
     expected = expected_numbers(rows, lambda r: r[0], lambda r: (r[1], r[2]))
     assert {tuple(row)[:3]: row.line for row in found.collect()} == expected
     assert found.schema["line"].dataType.simpleString() == "int"
 
 
-def test_heavy_groups(frame):
-    df = lines(frame, {"hot": 400, "warm": 60, "cold": 3})
-    assert values(numbering.heavy_groups(df, ["k"], 60)) == [("hot",)]
+def test_a_large_group_is_numbered_by_many_tasks(spark, frame):
+    df = lines(frame, {"hot": 7000})
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = numbering.line_number(df, ["k"], ["a", "b"], "line")
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(sizes) < 7000
 
 
-def test_large_groups(frame):
-    df = lines(frame, {"hot": 400, "cold": 3})
-    assert values(numbering.large_groups(df, ["k"], 60)) == [("hot",)]
-    assert numbering.large_groups(df, ["k"], 400) is None
-    assert numbering.large_groups(df, ["k"], 10**6) is None
-    assert numbering.large_groups(df, ["k"], None) is None
+def test_both_ways_give_null_keys_no_number(frame):
+    df = frame([("a", 1, 1), ("a", 2, 1), (None, 2, 2), (None, 2, 3), ("a", None, 4)], "k STRING, l INT, v INT")
+    for keys in (["k"], ["k", "l"]):
+        order = [name for name in df.columns if name not in keys]
+        one = numbering.line_number(df, keys, order, "line")
+        two = numbering.number_within(df, keys, [F.col(n).asc_nulls_last() for n in order], "line")
+        assert values(one) == values(two)
+        assert {row.line for row in one.collect() if row.k is None} == {None}
 
 
 def test_line_number_of_a_null_key_is_null(frame):
@@ -62,7 +69,8 @@ def test_equal_rows_are_numbered_one_by_one(frame):
 
 def test_number_within_null_group(frame):
     df = frame([(None, 2), (None, 1), ("a", 3)], "k STRING, v INT")
-    assert values(numbering.number_within(df, ["k"], ["v"], "line"), "v", "line") == [(1, 1), (2, 2), (3, 1)]
+    found = numbering.number_within(df, ["k"], ["v"], "line")
+    assert values(found, "v", "line") == [(1, None), (2, None), (3, 1)]
 
 
 def test_assign_keys_is_the_global_row_number(frame):
@@ -79,7 +87,7 @@ def test_assign_keys_of_nothing(frame):
 
 @pytest.mark.parametrize("limit", [1, 7, 1000])
 def test_expand_copies(frame, limit):
-    df = frame([("a", 23), ("b", 1), ("c", 7)], "k STRING, n BIGINT")
+    df = frame([("a", 23), ("b", 1), ("c", 7), ("none", 0)], "k STRING, n BIGINT")
     found = numbering.expand_copies(df, "n", "copy", limit).collect()
     assert Counter(row.k for row in found) == {"a": 23, "b": 1, "c": 7}
     assert sorted(row.copy for row in found if row.k == "a") == list(range(1, 24))

@@ -49,9 +49,9 @@ def test_translate(frame):
         [("red", "es", "rojo"), ("red", "es", "zzz"), ("odd", "fr", "impair")],
         "text STRING, lang STRING, translated STRING",
     )
-    assert values(translate(rows, "word", "es", dictionary, "es")) == [
+    assert values(translate(rows, "word", {"es": "es"}, dictionary)) == [
         (None, None), ("odd", "odd"), ("red", "rojo")]
-    assert values(translate(rows, "word", "es", None, "es"))[1] == ("odd", "odd")
+    assert values(translate(rows, "word", {"es": "es"}, None))[1] == ("odd", "odd")
 
 
 def test_first_and_latest_per_key(frame):

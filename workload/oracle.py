@@ -7,9 +7,24 @@ Spark side reads from XML is taken from the columns the XML was made of.
 
 from __future__ import annotations
 
-from kontor.functions.calendar import DAY_NAMES, MONTH_NAMES
 from kontor.sources.retail import GIVEN_TABLES, SOURCE_SQL
 
+# Monday first; January first.
+DAY_NAMES = {
+    "spanish": ["Lunes", "Martes", "Miércoles", "Jueves", "Viernes", "Sábado", "Domingo"],
+    "french": ["Lundi", "Mardi", "Mercredi", "Jeudi", "Vendredi", "Samedi", "Dimanche"],
+}
+MONTH_NAMES = {
+    "spanish": [
+        "Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio",
+        "Julio", "Agosto", "Septiembre", "Octubre", "Noviembre", "Diciembre",
+    ],
+    "french": [
+        "Janvier", "Février", "Mars", "Avril", "Mai", "Juin",
+        "Juillet", "Août", "Septembre", "Octobre", "Novembre", "Décembre",
+    ],
+}
+
 _HALFWAY = "TIMESTAMP '1998-01-01 00:00:00'"
 
 # Customers whose survey is well-formed.
@@ -26,6 +41,13 @@ _TYPE_OF_CODE = """CASE code WHEN 'OS' THEN 'Warehouse' WHEN 'BS' THEN 'Specialt
 _RHYTHM_OF_CODE = "CASE code WHEN 'OS' THEN 'Q' WHEN 'BS' THEN 'A' WHEN 'BM' THEN 'S' END"
 
 
+def _currency_key(code: str) -> str:
+    """A number for a code of three letters."""
+    return " + ".join(
+        f"ascii(substring({code}, {at}, 1)) * {256 ** (3 - at)}" for at in (1, 2, 3)
+    )
+
+
 def _key(moment: str) -> str:
     return f"CAST(strftime({moment}, '%Y%m%d') AS INT)"
 
@@ -47,7 +69,7 @@ _AMOUNTS = f"""d.orderqty AS orderquantity, CAST(d.unitprice AS DOUBLE) AS unitp
 
 _KEYS = f"""p.productid + 1 AS productkey, {_key('h.orderdate')} AS orderdatekey,
   {_key('h.duedate')} AS duedatekey, {_key('h.shipdate')} AS shipdatekey,
-  d.specialofferid + 1 AS promotionkey, ascii(coalesce(r.tocurrencycode, 'USD')) AS currencykey,
+  d.specialofferid + 1 AS promotionkey, {_currency_key("coalesce(r.tocurrencycode, 'USD')")} AS currencykey,
   h.territoryid + 1 AS salesterritorykey, h.salesordernumber"""
 
 # Building blocks: name -> (blocks and source tables it reads, SQL).
@@ -359,6 +381,10 @@ WHERE f.totalchildren IS NOT NULL""", "customer", "person", "emailaddress", "add
         "first_last_order_year": _columns("order_years"),
         "fact_internet_sales": _columns("internet", "customerkey", _FACT_COLUMNS),
         "fact_reseller_sales": _columns("resold", "resellerkey", "employeekey", _FACT_COLUMNS),
+        "fact_internet_sales_since": _columns("internet", "customerkey", _FACT_COLUMNS)
+        + f" WHERE orderdate >= {_HALFWAY}",
+        "fact_reseller_sales_since": _columns("resold", "resellerkey", "employeekey", _FACT_COLUMNS)
+        + f" WHERE orderdate >= {_HALFWAY}",
         "fact_sales_reason": _with("""
 SELECT h.salesordernumber, CASE WHEN s.salesreasonid < 6 THEN s.salesreasonid + 1 END AS salesreasonkey,
   '2026-01-01' AS saved, CASE WHEN s.salesreasonid < 6
@@ -390,7 +416,7 @@ SELECT 1 AS departmentgroupkey, CAST(NULL AS BIGINT) AS parentdepartmentgroupkey
 UNION ALL
 SELECT 1 + row_number() OVER (ORDER BY groupname), 1, groupname
 FROM (SELECT DISTINCT groupname FROM src_department)""", "department"),
-        "dim_organization": _with("""
+        "dim_organization": _with(f"""
 , divisions AS (
   SELECT row_number() OVER (ORDER BY t.name, t.territorygroup, t.countryregioncode) AS k, t.name,
     (SELECT min(currencycode) FROM src_countryregioncurrency y
@@ -398,23 +424,42 @@ FROM (SELECT DISTINCT groupname FROM src_department)""", "department"),
   FROM (SELECT DISTINCT name, territorygroup, countryregioncode FROM src_salesterritory) t)
 SELECT k AS organizationkey, CAST(NULL AS BIGINT) AS parentorganizationkey,
   name || ' Division' AS organizationname,
-  CASE WHEN code IN (SELECT currencycode FROM src_currency) THEN ascii(code) END AS currencykey
+  CASE WHEN code IN (SELECT currencycode FROM src_currency) THEN {_currency_key('code')} END AS currencykey,
+  length(name) / 100.0 AS percentageofownership
 FROM divisions
 UNION ALL
-SELECT k + (SELECT count(*) FROM divisions), k, name, NULL FROM divisions""",
+SELECT k + (SELECT count(*) FROM divisions), k, name, NULL, NULL FROM divisions""",
             "salesterritory", "countryregioncurrency", "currency").replace("\n\n, divisions", ",\ndivisions"),
-        "datamart_dim_product": _with(f"""
-SELECT * RENAME (productsubcategorykey AS "ProductKey"), englishproductname AS spanishproductname,
-  englishproductname AS frenchproductname FROM product_rows
-QUALIFY row_number() OVER (PARTITION BY productsubcategorykey
-  ORDER BY englishproductname, productalternatekey) = 1""", "product_rows"),
+        "loaded_quarter_region": _with(f"""
+SELECT year(orderdate) AS "año", quarter(orderdate) AS trimestre, r_name AS region_mundo,
+  CAST(sum(exact_amount) AS DOUBLE) AS total_ventas
+FROM internet JOIN customer ON customerkey = c_custkey + 1
+JOIN nation ON salesterritorykey = n_nationkey + 1 JOIN region ON n_regionkey = r_regionkey
+WHERE {_SURVEYED} GROUP BY ALL""", "internet"),
+        "loaded_reseller_mart": _with("""
+SELECT 'RS' || (resellerkey - 1) AS reselleralternatekey, s_name AS resellername,
+  CAST(sum(posts) AS BIGINT) AS line_count, CAST(sum(exact_amount * posts) AS DOUBLE) AS sales,
+  CAST(sum((exact_amount - CAST(totalproductcost AS DECIMAL(18,4))) * posts) AS DOUBLE) AS profit
+FROM resold JOIN supplier ON resellerkey = s_suppkey + 1
+JOIN (SELECT employeenationalidalternatekey AS nid, count(*) AS posts FROM employee_rows GROUP BY ALL)
+  ON nid = 'NID' || (employeekey - 1)
+GROUP BY ALL""", "resold", "employee_rows"),
+        "datamart_dim_product": _with("""
+SELECT *, CAST(substring(productalternatekey, 4) AS BIGINT) + 1 AS "ProductKey",
+  englishproductname AS spanishproductname, englishproductname AS frenchproductname
+FROM product_rows WHERE daystomanufacture >= 2 OR englishproductname < 'm older '
+UNION ALL BY NAME
+SELECT * REPLACE ('m older ' || englishproductname AS englishproductname),
+  CAST(substring(productalternatekey, 4) AS BIGINT) + 1 AS "ProductKey",
+  englishproductname AS spanishproductname, englishproductname AS frenchproductname
+FROM product_rows WHERE daystomanufacture < 2 AND englishproductname > 'm older '""", "product_rows"),
         "datamart_dim_reseller": _columns(
             "reseller_rows", "*", "CAST(substring(reselleralternatekey, 3) AS BIGINT) + 1 AS resellerkey"),
         "datamart_dim_sales_territory": _columns(
             "territory_rows", "*", "salesterritoryalternatekey + 1 AS salesterritorykey"),
         "datamart_dim_currency": _with(
             "SELECT currencycode AS currencyalternatekey, name AS currencyname, "
-            "ascii(currencycode) AS currencykey FROM src_currency", "currency"),
+            f"{_currency_key('currencycode')} AS currencykey FROM src_currency", "currency"),
         "datamart_dim_promotion": _columns(
             "promotion_rows", "*", "promotionalternatekey + 1 AS promotionkey"),
         "datamart_dim_date": _columns("calendar"),
@@ -423,7 +468,7 @@ SELECT *, CAST(substring(employeenationalidalternatekey, 4) AS BIGINT) AS "Emplo
 QUALIFY row_number() OVER (PARTITION BY employeenationalidalternatekey
   ORDER BY payfrequency NULLS LAST, baserate NULLS LAST) = 1""", "employee_rows"),
         "datamart_reseller_sales": _with(f"""
-SELECT resellerkey, employeekey, {_FACT_COLUMNS.replace('salesorderlinenumber, ', '').replace('salesamount, ', '')},
+SELECT resellerkey, employeekey, {_FACT_COLUMNS.replace('salesamount, ', '')},
   CAST(exact_extended - exact_discount AS DOUBLE) AS "SalesAmount",
   CAST(exact_extended - exact_discount - exact_cost AS DOUBLE) AS "Profit"
 FROM (SELECT *, exact_amount AS exact_extended,

@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,16 +19,15 @@ from kontor.operators.dedupe import latest_per_key
 from kontor.operators.lookup import PLACE, lookup_composite, translate
 from kontor.operators.reporting import share_of_total
 from kontor.plans import datamart, dimensions, facts, finance, reports
+from kontor.plans import warehouse as jobs
 from kontor.plans.warehouse import Warehouse
-from kontor.session import configure, shared_folder
+from kontor.session import application_folder, configure
 from kontor.sources.retail import RetailSource, RetailStar
 from kontor.sources.tables import export_csv, load_tables, replace_table
 from kontor.streaming.incremental import load_stream
 
 LOAD_DATE = dt.date(2026, 1, 1)
 HALFWAY = dt.datetime(1998, 1, 1)
-CALENDAR = ("1995-01-01", "2001-12-31")
-REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
 
 def halfway() -> Column:
@@ -49,8 +48,8 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder next to the checkpoints."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder among the results that ``discard_stored`` removes."""
+    return f"{application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 Query = Callable[[RetailSource, RetailStar], DataFrame]
@@ -65,7 +64,8 @@ def query(function: Query) -> Query:
 # Reports.
 
 def calendar(star: RetailStar) -> DataFrame:
-    return dimensions.dates(star.spark, *CALENDAR)
+    """Every day from the first to the last order."""
+    return dimensions.dates_covering(star.given("orders"), "o_orderdate")
 
 
 def quarter_region(star: RetailStar) -> DataFrame:
@@ -99,7 +99,10 @@ def sales_by_quarter_region(src, star):
 
 @query
 def sales_pivot_region(src, star):
-    return reports.region_pivot(quarter_region(star), REGIONS)
+    """A column for each region that the territories name."""
+    named = star["dimsalesterritory"].select("salesterritorygroup").distinct()
+    regions = sorted(row[0] for row in named.collect() if row[0] is not None)
+    return reports.region_pivot(quarter_region(star), regions)
 
 
 @query
@@ -171,10 +174,11 @@ def top5_store_quarters(src, star):
 def store_quarter_pivot(src, star):
     """Columns are the places 1 to 5 of the stores, the same at every scale."""
     report = by_store(star)
-    top = reports.top_stores(report)
-    places = numbering.assign_keys(
-        top, [F.col(reports.SALES).desc(), F.col(reports.STORE)], "place"
-    ).select(reports.STORE, F.concat(F.lit("top"), F.col("place").cast("string")).alias("place"))
+    ranked = Window.orderBy(F.col(reports.SALES).desc(), reports.STORE)
+    places = reports.top_stores(report).select(
+        reports.STORE,
+        F.concat(F.lit("top"), F.row_number().over(ranked).cast("string")).alias("place"),
+    )
     quarters = reports.top_store_quarters(report).join(places, reports.STORE)
     renamed = quarters.drop(reports.STORE).withColumnRenamed("place", reports.STORE)
     return reports.store_pivot(renamed, [f"top{n}" for n in range(1, reports.TOP_STORES + 1)])
@@ -261,6 +265,17 @@ def fact_internet_sales(src, star):
     return facts.internet_sales(src, star, load_date=LOAD_DATE)
 
 
+@query
+def fact_internet_sales_since(src, star):
+    """The load of changed orders."""
+    return facts.internet_sales(src, star, since=HALFWAY, load_date=LOAD_DATE)
+
+
+@query
+def fact_reseller_sales_since(src, star):
+    return facts.reseller_sales(src, star, since=HALFWAY, load_date=LOAD_DATE)
+
+
 @query
 def fact_reseller_sales(src, star):
     return facts.reseller_sales(src, star, load_date=LOAD_DATE)
@@ -281,6 +296,50 @@ def fact_sales_quota(src, star):
     return facts.sales_quotas(src, star)
 
 
+# The whole way from source tables to reports.
+
+def _loaded(src: RetailSource) -> Warehouse:
+    """A new warehouse with all dimensions loaded from the source tables."""
+    warehouse = Warehouse(src.spark, scratch(src.spark, "warehouse"))
+    days = dimensions.dates_covering(src["salesorderheader"], "orderdate")
+    jobs.load_dimensions(src, warehouse, calendar=days)
+    return warehouse
+
+
+@query
+def loaded_quarter_region(src, star):
+    """Dimensions are loaded, facts look up their keys, and the report reads both.
+
+    The orders come in two loads, of which the second holds all.
+    """
+    warehouse = _loaded(src)
+    early = dict(src.items())
+    early["salesorderheader"] = src["salesorderheader"].filter(F.col("orderdate") < halfway())
+    jobs.load_internet_sales(early, warehouse, load_date=LOAD_DATE)
+    jobs.load_internet_sales(src, warehouse, load_date=LOAD_DATE, gated=False)
+    return reports.sales_by_quarter_region(
+        warehouse["factinternetsales"], warehouse["dimdate"], warehouse["dimsalesterritory"]
+    )
+
+
+@query
+def loaded_reseller_mart(src, star):
+    """Reseller sales are loaded, the datamart is refreshed, and summed by reseller."""
+    warehouse = _loaded(src)
+    jobs.load_reseller_sales(src, warehouse, load_date=LOAD_DATE)
+    folder = scratch(src.spark, "datamart")
+    jobs.refresh_datamart(warehouse, folder)
+    fact = src.spark.read.parquet(f"{folder}/dm_factresellersales")
+    stores = src.spark.read.parquet(f"{folder}/dm_dimreseller")
+    sums = fact.groupBy("resellerkey").agg(
+        F.count(F.lit(1)).alias("line_count"), F.sum("salesamount").alias("sales"),
+        F.sum("Profit").alias("profit"),
+    )
+    return sums.join(stores, "resellerkey").select(
+        "reselleralternatekey", "resellername", "line_count", "sales", "profit"
+    )
+
+
 # Finance and datamart.
 
 @query
@@ -290,8 +349,9 @@ def dim_department(src, star):
 
 @query
 def dim_organization(src, star):
-    """Without the ownership share, which is a seeded number."""
-    return finance.organizations(src, star["dimcurrency"]).drop("percentageofownership")
+    """With a share that follows from the name."""
+    share = F.length(F.regexp_replace("organizationname", " Division$", "")) / F.lit(100.0)
+    return finance.organizations(src, star["dimcurrency"], ownership=share)
 
 
 def _mart(table: str, rows: DataFrame) -> DataFrame:
@@ -300,9 +360,13 @@ def _mart(table: str, rows: DataFrame) -> DataFrame:
 
 @query
 def datamart_dim_product(src, star):
-    """Keyed by subcategory here, so that keys repeat and some are null."""
-    products = dimensions.products(src).withColumnRenamed("productsubcategorykey", "ProductKey")
-    return _mart("dimproduct", products)
+    """Some products have an older row under the same key."""
+    rows = dimensions.products(src)
+    older = rows.filter("daystomanufacture < 2").withColumn(
+        "englishproductname", F.concat(F.lit("m older "), "englishproductname")
+    )
+    key = F.substring("productalternatekey", 4, 20).cast("bigint") + 1
+    return _mart("dimproduct", rows.unionByName(older).withColumn("ProductKey", key))
 
 
 @query
@@ -319,10 +383,16 @@ def datamart_dim_sales_territory(src, star):
     return _mart("dimsalesterritory", rows.withColumn("salesterritorykey", key))
 
 
+def currency_number() -> Column:
+    """A number for a code of three letters."""
+    code = F.col("currencyalternatekey")
+    return sum(F.ascii(F.substring(code, at, 1)) * 256 ** (3 - at) for at in (1, 2, 3))
+
+
 @query
 def datamart_dim_currency(src, star):
     rows = dimensions.currencies(src)
-    return _mart("dimcurrency", rows.withColumn("currencykey", F.ascii("currencyalternatekey")))
+    return _mart("dimcurrency", rows.withColumn("currencykey", currency_number()))
 
 
 @query
@@ -349,8 +419,8 @@ def datamart_dim_employee(src, star):
 @query
 def datamart_reseller_sales(src, star):
     """The sales amount is taken away, so that it is derived again."""
-    fact = facts.reseller_sales(src, star, load_date=LOAD_DATE, group_limit=None)
-    return datamart.mart_reseller_sales(fact.drop("salesamount", "salesorderlinenumber"))
+    fact = facts.reseller_sales(src, star, load_date=LOAD_DATE)
+    return datamart.mart_reseller_sales(fact.drop("salesamount"))
 
 
 # Sources, loading, checks.
@@ -441,7 +511,7 @@ def csv_roundtrip(src, star):
     spark = src.spark
     written = src["product"].select("productid", "name", "color", "listprice", "finishedgoodsflag")
     path = export_csv(written, "products", scratch(spark, "csv"), sep=";")
-    return spark.read.csv(path, header=True, sep=";", schema=written.schema)
+    return spark.read.csv(path, header=True, sep=";", escape='"', schema=written.schema)
 
 
 @query
@@ -519,9 +589,8 @@ def surrogate_keys_of_copies(src, star):
 @query
 def line_numbers(src, star):
     lines = src.given("lineitem")
-    order = [F.col(name) for name in lines.columns if name != "l_orderkey"]
-    heavy = numbering.large_groups(lines, ["l_orderkey"])
-    return numbering.line_number(lines, ["l_orderkey"], order, "line", heavy)
+    order = [name for name in lines.columns if name != "l_orderkey"]
+    return numbering.line_number(lines, ["l_orderkey"], order, "line")
 
 
 @query
@@ -573,7 +642,7 @@ def word_list(src: RetailSource) -> DataFrame:
 @query
 def translate_with_fallback(src, star):
     parts = src.given("part").select("p_partkey", "p_name")
-    return translate(parts, "p_name", "french_name", word_list(src), "fr")
+    return translate(parts, "p_name", {"fr": "french_name"}, word_list(src))
 
 
 # Expressions.
