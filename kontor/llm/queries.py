@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kontor.llm import (
-    exact_dedup, knn, lang_id, lm_score, mixing, packing, pii, sharding, simhash, url_filter,
+    exact_dedup, knn, lang_id, lm_score, mixing, oracles, packing, pii, sharding, simhash,
+    url_filter,
 )
 
 SHARDS = 16
@@ -21,7 +22,14 @@ URL_RULES = [
     ("org", "/fr/", "allow"),
 ]
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_lm_score": oracles.LM_SCORE,
+    "op3_exact_top_k": oracles.TOP_K,
+    "op5_source_mix": oracles.SOURCE_MIX,
+    "op7_url_filter": oracles.url_filter(URL_RULES),
+    "op8_sharding": oracles.SHARDING,
+    "op9_exact_dedup": oracles.EXACT_DEDUP,
+}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
