@@ -65,6 +65,14 @@ def _territory_keys(headers: DataFrame, dims: Tables) -> DataFrame:
     )
 
 
+def _discount(price: Column, share: Column, quantity: Column) -> Column:
+    """Price times share times quantity with all eight decimals.
+
+    Spark would give up decimals where the product of the types has more than 38 digits.
+    """
+    return (price * share).cast("decimal(27,8)") * quantity.cast("decimal(10,0)")
+
+
 def _lines(src: Tables, dims: Tables, detail: DataFrame, product_join: str) -> DataFrame:
     """Order lines with product and promotion keys and their amounts."""
     catalog = lookup_key(
@@ -82,7 +90,7 @@ def _lines(src: Tables, dims: Tables, detail: DataFrame, product_join: str) -> D
         quantity.alias("orderquantity"), "unitprice",
         F.col("linetotal").alias("extendedamount"),
         F.col("unitpricediscount").alias("unitpricediscountpct"),
-        (price * quantity * F.col("unitpricediscount")).alias("discountamount"),
+        _discount(price, F.col("unitpricediscount"), quantity).alias("discountamount"),
         F.col("standardcost").alias("productstandardcost"),
         (F.col("standardcost") * quantity).alias("totalproductcost"),
         F.col("linetotal").alias("salesamount"),

@@ -189,3 +189,22 @@ def test_computed_once(frame):
     rows = frame([(1,), (2,)], "i INT")
     found = columns.computed_once(rows, (F.col("i") * 2).alias("twice"), F.lit(None).cast("int").alias("n"))
     assert values(found) == [(1, 2, None), (2, 4, None)]
+
+
+def test_insert_only_new_compares_in_the_wider_type(frame):
+    batch = frame([(1, "a"), (2, "b")], "k INT, v STRING")
+    existing = frame([(5_000_000_000, "x"), (2, "y")], "k BIGINT, v STRING")
+    assert values(loading.insert_only_new(batch, existing, ["k"])) == [(1, "a")]
+    assert values(loading.insert_only_new(existing, batch, ["k"])) == [(5_000_000_000, "x")]
+
+
+def test_a_load_without_news_writes_no_file(spark, frame, tmp_path):
+    from kontor.plans.warehouse import Warehouse
+    warehouse = Warehouse(spark, str(tmp_path))
+    rows = frame([(1, "a"), (2, "b")], "k INT, v STRING")
+    warehouse.load("rows", rows, ["k"])
+    files = sorted(tmp_path.glob("rows/*.parquet"))
+    for _ in range(3):
+        assert warehouse.load("rows", rows, ["k"]) == 0
+        assert warehouse["rows"].count() == 2 and sorted(tmp_path.glob("rows/*.parquet")) == files
+    assert warehouse.load("rows", frame([(3, "c")], "k INT, v STRING"), ["k"]) == 1

@@ -114,6 +114,30 @@ def test_internet_sales(frame, dims):
     assert found.columns == T.StructType.fromDDL(schemas.FACT_INTERNET_SALES).names
 
 
+def test_money_is_exact(frame, dims):
+    source = sales_source(frame, LINES)
+    source["salesorderdetail"] = frame(
+        [(1, 1, 0, 3, D("1234567890123.4567"), D("0.1234"), D("3703703670370.3701"), None)],
+        "salesorderid INT, productid INT, specialofferid INT, orderqty INT, unitprice DECIMAL(19,4), "
+        "unitpricediscount DECIMAL(10,4), linetotal DECIMAL(19,4), carriertrackingnumber STRING")
+    row = facts.internet_sales(source, dims).first()
+    assert row.discountamount == D("1234567890123.4567") * 3 * D("0.1234")
+    assert (row.unitprice, row.salesamount) == (D("1234567890123.4567"), D("3703703670370.3701"))
+
+
+def test_lines_are_numbered_per_order_number(frame, dims):
+    """Two orders under one number share its numbers; without a number there is none."""
+    source = sales_source(frame, LINES)
+    source["salesorderheader"] = source["salesorderheader"].withColumn(
+        "salesordernumber", F.when(F.col("salesorderid") < 3, F.lit("SO1")))
+    rows = facts.reseller_sales(source, dims).collect()
+    assert {row.salesordernumber for row in rows} == {"SO1"}
+    assert len({row.salesorderlinenumber for row in rows}) == len(rows) == 3
+    source["salesorderheader"] = source["salesorderheader"].withColumn(
+        "salesordernumber", F.lit(None).cast("string"))
+    assert {row.salesorderlinenumber for row in facts.reseller_sales(source, dims).collect()} == {None}
+
+
 def test_internet_sales_channel_and_since(frame, dims):
     source = sales_source(frame, LINES)
     assert facts.internet_sales(source, dims, channel=F.col("salesordernumber") == "SO2").count() == 0
