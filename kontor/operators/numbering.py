@@ -12,6 +12,9 @@ from kontor.session import stored
 # Copies of one row that a single task may write out.
 COPY_LIMIT = 1_000_000
 
+# Parts that rows without a key are dealt out to.
+_SPREAD = 1 << 20
+
 # monotonically_increasing_id holds the partition above this bit.
 _SLICE_BIT = 33
 
@@ -105,20 +108,27 @@ def line_number(
     ``order`` are column names, ascending, nulls last.  A group is numbered in parts: one
     for each combination of its first ``split`` order columns, placed behind
     the parts before it.  So a large group is spread over as many tasks as it has
-    parts, and only the sizes of its parts meet in one.
+    parts, and only the sizes of its parts meet in one.  Rows with a null key
+    pass in the same plan, dealt out by a hash of the row.
     """
-    keyed = df.filter(_known(partition)).withColumn("_part", F.struct(*partition, *order[:split]))
+    dealt = F.when(_known(partition), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(*df.columns), F.lit(_SPREAD)).cast("int") + 1
+    )
+    parted = df.withColumn("_part", F.struct(dealt.alias("_dealt"), *partition, *order[:split]))
     rest = [F.col(name).asc_nulls_last() for name in order[split:]] or [F.lit(1)]
-    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*rest))
-    before = Window.partitionBy(*[F.col("_of")[name] for name in partition]).orderBy(
+    part = Window.partitionBy("_part")
+    numbered = parted.withColumns({
+        "_inside": F.row_number().over(part.orderBy(*rest)), "_rows": F.count(F.lit(1)).over(part),
+    })
+    before = Window.partitionBy(*[F.col("_of")[name] for name in ("_dealt", *partition)]).orderBy(
         *[F.col("_of")[name].asc_nulls_last() for name in order[:split]]
     ).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = keyed.groupBy(F.col("_part").alias("_of")).agg(F.count(F.lit(1)).alias("_rows"))
+    # The last row of each part knows its size; it comes out of the same exchange.
+    sizes = numbered.filter("_inside = _rows").select(F.col("_part").alias("_of"), "_rows")
     offsets = sizes.select(
         "_of", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
     )
     # Structs are equal where their fields are, nulls included.
-    numbered = keyed.withColumn("_inside", inside).join(offsets, F.col("_part") == F.col("_of"))
-    return numbered.select(
-        *df.columns, (F.col("_inside") + F.col("_offset")).cast("int").alias(out)
-    ).unionByName(_without_number(df, partition, out))
+    placed = numbered.join(offsets, F.col("_part") == F.col("_of"))
+    number = F.when(F.col("_part._dealt") == 0, F.col("_inside") + F.col("_offset"))
+    return placed.select(*df.columns, number.cast("int").alias(out))
