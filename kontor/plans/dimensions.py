@@ -42,6 +42,15 @@ def dates_covering(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def dates_including(df: DataFrame, column: str, start=CALENDAR_START, end=CALENDAR_END) -> DataFrame:
+    """One row per day from ``start`` to ``end``, and on to all moments in ``column``."""
+    first, last = F.to_date(F.min(column)), F.to_date(F.max(column))
+    return calendar_rows(df.agg(
+        F.least(F.to_date(F.lit(start)), first).alias("first"),
+        F.greatest(F.to_date(F.lit(end)), last).alias("last"),
+    ))
+
+
 def calendar_rows(bounds: DataFrame) -> DataFrame:
     days = bounds.select(
         F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("day")

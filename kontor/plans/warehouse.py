@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from kontor.operators.loading import has_new_fact_data, insert_only_new
 from kontor.operators.numbering import assign_keys
 from kontor.plans import datamart, dimensions, facts, finance
+from kontor.session import discarding
 from kontor.sources.tables import append, replace_table
 
 Tables = Mapping[str, DataFrame]
@@ -91,15 +92,20 @@ class Warehouse(Mapping):
         A surrogate key continues behind the largest one of the table; rows
         already there keep theirs.
         """
+        with discarding(self.spark):
+            return self._load(name, batch, LOAD_KEYS[name] if keys is None else keys)
+
+    def _load(self, name: str, batch: DataFrame, keys: Sequence[str]) -> int:
         existing = self.get(name)
-        keys = LOAD_KEYS[name] if keys is None else keys
         fresh = insert_only_new(batch, existing, keys)
         surrogate = SURROGATE_KEYS.get(name)
         if surrogate is not None:
             last = None if existing is None else existing.agg(F.max(surrogate)).first()[0]
             order = [F.col(key).asc_nulls_last() for key in keys]
             fresh = assign_keys(fresh, order, surrogate, (last or 0) + 1)
-        return append(fresh, self.path(name), existing is not None)
+            if existing is not None and fresh.isEmpty():  # they are stored: a look at a file
+                return 0
+        return append(fresh, self.path(name), existing is not None and surrogate is None)
 
     def gate(self, fact: str, date: str = "orderdate") -> bool:
         """Whether the fact should be loaded, by the dates it holds."""
@@ -113,9 +119,13 @@ def load_dimensions(
     calendar: DataFrame | None = None,
     dictionary: DataFrame | None = None,
 ) -> dict[str, int]:
-    """Load all sales dimensions, parents before the tables that look them up."""
-    spark = warehouse.spark
-    days = dimensions.dates(spark) if calendar is None else calendar
+    """Load all sales dimensions, parents before the tables that look them up.
+
+    The calendar is the usual one, longer if there are orders outside it.
+    """
+    days = calendar
+    if days is None:
+        days = dimensions.dates_including(src["salesorderheader"], "orderdate")
     loaded = {"dimdate": warehouse.load("dimdate", days)}
 
     def load(name: str, rows: DataFrame) -> None:

@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# What ``stored`` has written inside a ``discarding`` block, per thread.
+_scopes = threading.local()
+
 # Runtime settings.  Skewed join partitions are split even where that costs a
 # further exchange: one key may hold a third of all rows.
 SETTINGS = {
@@ -59,12 +65,30 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{application_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for scope in getattr(_scopes, "open", [])[-1:]:
+        scope.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def discarding(spark: SparkSession) -> Iterator[None]:
+    """Remove what ``stored`` writes inside: for jobs that end in a written table."""
+    scopes = _scopes.__dict__.setdefault("open", [])
+    scopes.append([])
+    try:
+        yield
+    finally:
+        for path in scopes.pop():
+            _remove(spark, path)
+
+
 def discard_stored(spark: SparkSession) -> None:
     """Remove the results ``stored`` has written for this application."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
+    _remove(spark, application_folder(spark))
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 

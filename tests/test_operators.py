@@ -208,3 +208,16 @@ def test_a_load_without_news_writes_no_file(spark, frame, tmp_path):
         assert warehouse.load("rows", rows, ["k"]) == 0
         assert warehouse["rows"].count() == 2 and sorted(tmp_path.glob("rows/*.parquet")) == files
     assert warehouse.load("rows", frame([(3, "c")], "k INT, v STRING"), ["k"]) == 1
+
+
+def test_a_load_leaves_no_intermediate_results(spark, frame, tmp_path):
+    from pathlib import Path
+
+    from kontor.plans.warehouse import Warehouse
+    from kontor.session import application_folder
+    folder = Path(application_folder(spark))
+    before = set(folder.glob("*"))
+    warehouse = Warehouse(spark, str(tmp_path))
+    batch = frame([("USD", "dollar"), ("EUR", "euro")], "currencyalternatekey STRING, currencyname STRING")
+    assert [warehouse.load("dimcurrency", batch) for _ in range(2)] == [2, 0]
+    assert set(folder.glob("*")) == before

@@ -29,6 +29,12 @@ def test_calendar_of_one_day(spark):
     assert dimensions.dates(spark, "2020-02-29", "2020-02-29").count() == 1
 
 
+def test_calendar_reaches_orders_outside(frame):
+    orders = frame([(dt.datetime(2004, 12, 30),), (dt.datetime(2020, 1, 1),), (None,)], "orderdate TIMESTAMP_NTZ")
+    assert dimensions.dates_including(orders, "orderdate").count() == 7670 + 2
+    assert dimensions.dates_including(orders.limit(0), "orderdate").count() == 7670
+
+
 def product_source(frame):
     return {
         "productsubcategory": frame([(1,)], "productsubcategoryid INT"),
