@@ -38,8 +38,8 @@ END_ID = 2
 DIMENSIONS = 4
 BITS = 12
 #: Words that a worker remembers, and bytes of text that it encodes at once.
-WORDS = 500_000
-TOGETHER = 8 << 20
+WORDS = 400_000
+TOGETHER = 4 << 20
 
 
 class Encoder:
