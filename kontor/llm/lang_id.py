@@ -62,10 +62,9 @@ def training_sample(
     if len(chosen) > most or len({row["lang"] for row in chosen}) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
     spare = F.greatest(F.length("text") - chars, F.lit(0)) + 1
-    # A table of known, small size, so the texts needn't be shuffled to meet it.
-    windows = usable.join(
-        labelled.sparkSession.createDataFrame(chosen, "lang string, mark bigint"), ["lang", "mark"]
-    ).select(
+    # ``most`` rows at most, so the texts needn't be shuffled to meet them.
+    marks = labelled.sparkSession.createDataFrame(chosen, "lang string, mark bigint")
+    windows = usable.join(F.broadcast(marks), ["lang", "mark"]).select(
         "lang", "mark",
         F.substr("text", (1 + F.pmod(F.col("mark"), spare)).cast("int"), F.lit(chars))
         .alias("sample"),
@@ -125,17 +124,18 @@ class Model:
         code_of = {c: at + 2 for at, c in enumerate(kept)} | {" ": _GAP}
         self.languages = list(plains)
         self.width = len(code_of) + 1
-        automata = [
-            suffix_automaton([code_of.get(c, _OTHER) for c in text]) for text in plains.values()
-        ]
+        # An automaton has at most two states a character.
+        most = 2 * sum(map(len, plains.values())) * self.width
+        kind = np.int32 if most < 1 << 29 else np.int64
         steps, self.roots, size = [], [], 0
-        for follow in automata:
+        for text in plains.values():
+            follow = suffix_automaton([code_of.get(c, _OTHER) for c in text])
             root = size * self.width
-            first = np.full(self.width, root << 2 | 1, dtype=np.int64)
+            first = np.full(self.width, root << 2 | 1, dtype=kind)
             for code, target in follow[0].items():
                 if code != _OTHER:
                     first[code] = root + target * self.width << 2
-            table = np.empty((len(follow), self.width), dtype=np.int64)
+            table = np.empty((len(follow), self.width), dtype=kind)
             table[:] = first + 1  # a phrase ends, the code begins the next
             table[0] = first
             for state, targets in enumerate(follow):
@@ -145,9 +145,8 @@ class Model:
             steps.append(table.ravel())
             self.roots.append(root)
             size += len(follow)
-        self.steps = np.concatenate(steps) if steps else np.zeros(0, dtype=np.int64)
-        if size * self.width < 1 << 29:
-            self.steps = self.steps.astype(np.int32)
+            del follow, table  # many times the room of what is kept
+        self.steps = np.concatenate(steps) if steps else np.zeros(0, dtype=kind)
         self.weights = np.array([math.log2(len(text) + 2) for text in plains.values()])
         # Codes of all characters; beyond the first plane only letters of samples differ.
         self.codes = np.fromiter(
