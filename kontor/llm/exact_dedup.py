@@ -3,7 +3,8 @@
 The first pass marks, for every text, a few bits of a filter and keeps the bits
 that were marked more than once.  The second pass probes this filter: a text
 whose bits were all marked repeatedly may have a copy, and only such rows are
-shuffled.  All others pass straight through.
+shuffled.  All others pass straight through.  What the first pass shuffles are numbers
+of bits, counted before, not rows.
 
 * Null counts as the empty text.  Of equal texts the row with the largest id
   stays; a null id is smaller than any other.  Of rows that repeat both id and

@@ -42,7 +42,7 @@ from kontor.session import stored
 
 ORDER = 2
 BACKOFF = 0.4
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _ROWS = "block bigint, part int, size int, raw binary, counts binary, id bigint"
 
@@ -57,15 +57,16 @@ class Grams:
     """The n-grams of some texts: at every word, the hash of each n-gram that ends there."""
 
     def __init__(self, texts: list[bytes], order: int) -> None:
-        words = [text.lower().split() for text in texts]
-        self.lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        # One text at a time: words take many times the room of their hashes.
+        hashed = [
+            np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+            for words in (text.lower().split() for text in texts)
+        ]
+        self.lengths = np.fromiter(map(len, hashed), dtype=np.int64, count=len(hashed))
         self.total = int(self.lengths.sum())
-        digest = xxhash.xxh64_intdigest
-        hashes = np.fromiter(
-            (digest(word) for own in words for word in own), dtype=np.uint64, count=self.total
-        )
-        del words
-        self.owner = np.repeat(np.arange(len(texts)), self.lengths)
+        hashes = np.concatenate([np.zeros(0, dtype=np.uint64), *hashed])
+        del hashed
+        self.owner = np.repeat(np.arange(len(texts), dtype=np.int32), self.lengths)
         starts = np.cumsum(self.lengths) - self.lengths
         self.place = np.arange(self.total) - np.repeat(starts, self.lengths)
         self.keys, self.ends = [hashes], [np.arange(self.total)]
@@ -192,8 +193,9 @@ def _log_scores(grams: Grams, totals: list[np.ndarray], backoff: float):
         distinct, inverse = np.unique(keys, return_inverse=True)
         if len(distinct) != len(total):
             raise ValueError("a block was read in another order; store the documents first")
-        pairs = grams.owner[ends] * len(distinct) + inverse
+        pairs = grams.owner[ends].astype(np.int64) * len(distinct) + inverse
         _, same, own = np.unique(pairs, return_inverse=True, return_counts=True)
+        del pairs, distinct
         left = np.zeros(grams.total, dtype=np.int64)
         left[ends] = total[inverse].astype(np.int64) - own[same]
         others.append(left)
