@@ -128,7 +128,8 @@ def _holds(kind: str, value: Column) -> Column:
     if kind == "card":
         return luhn(value)
     if kind == "ip":
-        part = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+        # A part that is all zeros ends behind them.
+        part = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?|(?<=0))"
         return value.rlike(rf"^{part}(?:\.{part}){{3}}$")
     if kind == "phone":
         return F.length(_digits(value)).between(9, 15)

@@ -53,7 +53,7 @@ def test_whole_texts(spark, documents, odd, nothing):
 PIECES = st.sampled_from([
     "1", "12", "4111111111111111", "4111 1111 1111 1111", "255", "256", ".", "..", " ", "  ", "-",
     "+", "@", "a", "b.c", "x_y", "%", "(", ")", "é", "\U0001f600", "\n", "00", "1.2.3.4", "ab@cd.ef",
-    "+1 (234) 555-6789",
+    "+1 (234) 555-6789", "0", "10.0.0.1", "0.0.0.0", "1.00.000.1",
 ])
 
 
@@ -63,6 +63,15 @@ def test_made_up_texts(spark, texts):
     check(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
 
 
+def test_addresses_with_zeros(spark):
+    texts = ["10.0.0.1", "0.0.0.0", "1.00.000.1", "127.0.0.1 or 192.168.0.1", "0255.00.010.099",
+             "256.0.0.1", "0.0.0.0256", "0.0.0.300", "0.0.0", "0" * 3000 + ".0.0." + "0" * 3000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    check(docs)
+    rows = sorted((r["doc_id"], r["n_ip"]) for r in pii.pii(docs).collect())
+    assert [n for _, n in rows] == [1, 1, 1, 2, 1, 0, 0, 0, 0, 1]
+
+
 def test_added_spans(spark):
     texts = [
         "Konto DE89370400440532013000 bitte", "Konto DE89370400440532013001 bitte",
