@@ -5,7 +5,9 @@ match that fails its check is dropped and not tried again.  Further kinds add
 spans and never replace base ones:
 
 * ``iban``: a letter pair, two digits and 11 to 30 letters or digits, single
-  blanks allowed, that leave 1 by mod 97 (ISO 7064).
+  blanks allowed, that leave 1 by mod 97 (ISO 7064).  Words that follow look alike, so
+  every end of a word is tried: of those that hold, the one of the country's length
+  counts, else the longest.  Every letter pair at the start of a word is tried, too.
 * ``ssn``: ``ddd-dd-dddd``, only if words around it speak of such a number.
 
 Every span has a score: the pattern's own, plus that of a checksum, plus that of
@@ -60,7 +62,7 @@ KINDS = {
         0.6, words="phone|call|tel|mobile|fax", near=0.3,
     ),
     "iban": Kind(
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?+[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+        r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?+[A-Z0-9]){11,30}(?![A-Za-z0-9])))[A-Z]{2}",
         0.2, checked=0.6, words="iban|account|bank|konto|compte|cuenta", near=0.2,
     ),
     "ssn": Kind(
@@ -69,31 +71,55 @@ KINDS = {
     ),
 }
 
+#: Signs that are taken of a match, if what follows is only looked at (group 1).
+_TAKEN = {"iban": 2}
+#: Letters and digits of account numbers by country (ISO 13616).
+IBAN_SIZES = {
+    country: int(part[:2]) for part in (
+        "15 NO", "16 BE", "18 DK FI FK FO GL NL SD", "19 MK SI", "20 AT BA EE KZ LT LU MN XK",
+        "21 CH HR LI LV", "22 BG BH CR DE GB GE IE ME RS VA", "23 AE GI IL IQ OM SO TL",
+        "24 AD CZ ES MD PK RO SA SE SK TN VG", "25 LY PT ST", "26 IS TR",
+        "27 BI DJ FR GR IT MC MR SM", "28 AL AZ BY CY DO GT HN HU LB NI PL SV",
+        "29 BR EG PS QA UA", "30 JO KW MU YE", "31 MT SC", "32 LC", "33 RU",
+    ) for country in part[3:].split()
+}
+
 _SPAN = "struct<start:int,end:int,value:string,before:string>"
-_STATE = f"struct<at:int,spans:array<{_SPAN}>>"
+_STATE = f"struct<at:int,seen:string,spans:array<{_SPAN}>>"
+
 
+def _located(text: Column, matches: Column, pattern: str, taken: int | None = None) -> Column:
+    """Matches with their positions: the texts between them are measured, too.
 
-def _located(text: Column, matches: Column, pattern: str) -> Column:
-    """Matches with their positions: the texts between them are measured, too."""
+    The pattern takes the first ``taken`` signs of a match, or all of it.
+    """
     gaps = F.split(text, pattern, -1)
     pairs = F.arrays_zip(F.slice(gaps, 1, F.size(matches)).alias("gap"), matches.alias("value"))
 
     def step(state: Column, pair: Column) -> Column:
         start = state["at"] + F.length(pair["gap"])
         end = start + F.length(pair["value"])
+        before = _last(F.concat(state["seen"], _last(pair["gap"])))
+        own = pair["value"] if taken is None else F.left(pair["value"], F.lit(taken))
         span = F.struct(
             start.alias("start"), end.alias("end"), pair["value"].alias("value"),
-            F.lower(F.right(pair["gap"], F.lit(WINDOW))).alias("before"),
+            F.lower(before).alias("before"),
         )
         return F.struct(
-            end.alias("at"), F.concat(state["spans"], F.array(span.cast(_SPAN))).alias("spans")
+            (start + F.length(own)).alias("at"),
+            _last(F.concat(before, _last(own))).alias("seen"),
+            F.concat(state["spans"], F.array(span.cast(_SPAN))).alias("spans"),
         ).cast(_STATE)
 
-    begin = F.from_json(F.lit('{"at":0,"spans":[]}'), _STATE)
+    begin = F.from_json(F.lit('{"at":0,"seen":"","spans":[]}'), _STATE)
     none = F.array().cast(f"array<{_SPAN}>")
     return F.when(F.size(matches) > 0, F.aggregate(pairs, begin, step)["spans"]).otherwise(none)
 
 
+def _last(value: Column) -> Column:
+    return F.right(value, F.lit(WINDOW))
+
+
 def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -124,6 +150,46 @@ def mod_97(value: Column) -> Column:
     return F.aggregate(F.split(turned, "(?!^)(?!$)"), F.lit(0), step) == 1
 
 
+def _account(value: Column) -> Column:
+    """The account number that a text begins with, or null."""
+    words = F.split(value, " ")
+    starts = F.transform(
+        F.sequence(F.lit(1), F.size(words)),
+        lambda n: F.array_join(F.slice(words, F.lit(1), n), " "),
+    )
+
+    def size(start: Column) -> Column:
+        return F.length(F.regexp_replace(start, r"\x20", ""))
+
+    valid = F.filter(starts, lambda start: (size(start) >= 15) & mod_97(start))
+    sizes = F.create_map(*[F.lit(x) for pair in IBAN_SIZES.items() for x in pair])
+    usual = F.filter(
+        valid, lambda start: size(start) == F.try_element_at(sizes, F.left(value, F.lit(2)))
+    )
+    return F.coalesce(F.get(usual, F.lit(0)), F.get(F.reverse(valid), F.lit(0)))
+
+
+def _accounts(located: Column) -> Column:
+    """Account numbers at the places where they may begin, without overlap."""
+    cut = F.transform(located, lambda span: F.struct(span.alias("span"), _account(span["value"]).alias("value")))
+    held = F.transform(
+        F.filter(cut, lambda x: x["value"].isNotNull()),
+        lambda x: F.struct(
+            x["span"]["start"].alias("start"),
+            (x["span"]["start"] + F.length(x["value"])).alias("end"),
+            x["value"].alias("value"), x["span"]["before"].alias("before"),
+        ).cast(_SPAN),
+    )
+
+    def step(kept: Column, span: Column) -> Column:
+        last = F.get(kept, F.size(kept) - 1)
+        return F.when(
+            last.isNull() | (last["end"] <= span["start"]), F.concat(kept, F.array(span))
+        ).otherwise(kept)
+
+    return F.aggregate(held, F.array().cast(f"array<{_SPAN}>"), step)
+
+
 def _holds(kind: str, value: Column) -> Column:
     if kind == "card":
         return luhn(value)
@@ -133,8 +199,6 @@ def _holds(kind: str, value: Column) -> Column:
         return value.rlike(rf"^{part}(?:\.{part}){{3}}$")
     if kind == "phone":
         return F.length(_digits(value)).between(9, 15)
-    if kind == "iban":
-        return mod_97(value)
     return F.lit(True)
 
 
@@ -149,7 +213,10 @@ def _scored(kind: str, located: Column) -> Column:
             F.least(F.lit(1.0), near + rule.score + rule.checked).alias("score"),
         )
 
-    valid = F.transform(F.filter(located, lambda span: _holds(kind, span["value"])), shown)
+    if kind == "iban":
+        valid = F.transform(_accounts(located), shown)
+    else:
+        valid = F.transform(F.filter(located, lambda span: _holds(kind, span["value"])), shown)
     if kind in BASE:
         return valid
     return F.filter(valid, lambda span: span["score"] >= THRESHOLD)
@@ -161,11 +228,15 @@ def with_spans(docs: DataFrame, text: str = "text", out: str = "spans") -> DataF
     body, *columns = fresh(docs, "_text", *[f"_{kind}" for kind in KINDS])
     found = docs.withColumn(body, whole(named(text)))
     found = found.withColumns({
-        column: F.regexp_extract_all(named(body), F.lit(KINDS[kind].pattern), 0)
+        column: F.regexp_extract_all(
+            named(body), F.lit(KINDS[kind].pattern), 1 if kind in _TAKEN else 0
+        )
         for kind, column in zip(KINDS, columns, strict=True)
     })
     spans = [
-        _scored(kind, _located(named(body), named(column), KINDS[kind].pattern))
+        _scored(
+            kind, _located(named(body), named(column), KINDS[kind].pattern, _TAKEN.get(kind))
+        )
         for kind, column in zip(KINDS, columns, strict=True)
     ]
     return found.withColumn(out, F.concat(*spans)).drop(body, *columns)

@@ -84,6 +84,27 @@ def test_added_spans(spark):
     assert spans[3:] == ["ssn:5:16", "", "", "", ""]
 
 
+def test_added_spans_in_running_text(spark):
+    tight, wide = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    cases = {
+        f"{tight} Please pay": ["iban:0:22"], f"{tight} P": ["iban:0:22"], f"{tight} 12 x": ["iban:0:22"],
+        f"{wide} BIC COBADEFF": ["iban:0:27"], f"To {wide} 2024 EUR": ["iban:3:30"], f"{wide} a": ["iban:0:27"],
+        f"{wide} Bic": ["iban:0:27"], f"{wide} {tight} GB82 WEST 1234 5698 7654 32 OR {tight}":
+            ["iban:0:27", "iban:28:50", "iban:51:78", "iban:82:104"],
+        f"AB12 {tight} OK": ["iban:5:27"], f"{tight}X": [], f"{tight}x": [], f"x{tight}": [],
+        "NO93 8601 1117 947 ABCDE": ["iban:0:18"], "DE89 3704 0044 0532 0130 01 BIC": [],
+        "ssn 123-45-6789, 987-65-4321": ["ssn:4:15", "ssn:17:28"],
+        "ssn 123-45-6789" + " " * 60 + "987-65-4321": ["ssn:4:15"],
+        "ssn " + "123-45-6789 " * 6: [f"ssn:{4 + 12 * n}:{15 + 12 * n}" for n in range(4)],
+        "\U0001f600 é " + f"{tight} P " * 3: [f"iban:{4 + 25 * n}:{26 + 25 * n}" for n in range(3)],
+        "AB12 " * 20_000: [],
+    }
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id bigint, text string")
+    rows = sorted((r["doc_id"], r["spans"]) for r in pii.pii(docs).collect())
+    for (_, spans), (text, want) in zip(rows, cases.items()):
+        assert [x for x in spans.split(",") if x[:4] in ("iban", "ssn:")] == want, text[:80]
+
+
 def test_redacted(spark):
     docs = spark.createDataFrame([(1, "é a@b.example.com, 1.2.3.4!"), (2, None), (3, "clean")],
                                  "doc_id bigint, text string")
