@@ -8,9 +8,12 @@ the logarithm of its sample's length, wins.
 * Sample: each language's labelled texts are spread over ``ROWS`` slots by a hash
   of the text; the text with the smallest second hash of each slot is taken,
   and of it a window of ``CHARS`` characters.  So a model has at most
-  ``ROWS * CHARS`` characters for each language, at any size of input.  At most
-  ``LANGUAGES`` languages are learned; more raise an error.  This bounds what is
-  broadcast: two states a character at most, ``LETTERS`` + 2 numbers a state.
+  ``ROWS * CHARS`` characters for each language, at any size of input.
+* Every label is learned.  Where all labels together have more windows than
+  ``LANGUAGES`` languages may have, each keeps an equal number of them at most, and where
+  one window each is still too many, windows get shorter.  This bounds what is
+  broadcast: two states a character at most, ``LETTERS`` + 2
+  numbers a state.  Only the labels themselves grow.
 * Only letters and gaps between words count; case doesn't.  Letters beyond the
   ``LETTERS`` most frequent ones of the samples match nothing.
 * Whole texts are parsed, in blocks of ``BLOCK`` characters that many documents pass in step: a
@@ -29,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kontor.llm.common import fresh, named, whole
@@ -41,6 +44,8 @@ LANGUAGES = 16
 BLOCK = 4096
 #: Characters that are parsed together; a longer text in pieces.  This bounds memory.
 TOGETHER = 2_000_000
+#: Counts (a text, a language) that are held.
+HELD = 1 << 20
 NO_LANGUAGE = "und"
 
 # Codes of characters in a parse: a gap, a letter that no sample has, then letters.
@@ -50,21 +55,30 @@ _GAP, _OTHER = 0, 1
 def training_sample(
     labelled: DataFrame, text: str, lang: str, rows: int = ROWS, chars: int = CHARS
 ) -> list[tuple[str, str]]:
-    """(lang, sample): at most ``rows`` windows of ``chars`` characters per language."""
+    """(lang, sample): at most ``rows`` windows of ``chars`` characters per language,
+    and of all languages as many characters as ``LANGUAGES`` may have (one each at least)."""
     usable = labelled.filter(named(text).isNotNull() & named(lang).isNotNull()).select(
         named(lang).alias("lang"), named(text).alias("text")
     ).select("*", F.xxhash64("text").alias("mark"))
     most = LANGUAGES * rows
-    chosen = (
+    slots = (
         usable.groupBy("lang", F.pmod(F.col("mark"), F.lit(rows)).alias("slot"))
-        .agg(F.min("mark").alias("mark")).select("lang", "mark").limit(most + 1).collect()
+        .agg(F.min("mark").alias("mark")).select("lang", "mark")
     )
-    if len(chosen) > most or len({row["lang"] for row in chosen}) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
+    chosen = slots.limit(most + 1).collect()
+    if len(chosen) > most:
+        share = _share(slots, rows, most)
+        order = Window.partitionBy("lang").orderBy("mark")
+        chosen = (
+            slots.withColumn("place", F.row_number().over(order))
+            .filter(F.col("place") <= share).drop("place").collect()
+        )
+        chars = max(1, chars * most // max(most, len(chosen)))
     spare = F.greatest(F.length("text") - chars, F.lit(0)) + 1
-    # ``most`` rows at most, so the texts needn't be shuffled to meet them.
     marks = labelled.sparkSession.createDataFrame(chosen, "lang string, mark bigint")
-    windows = usable.join(F.broadcast(marks), ["lang", "mark"]).select(
+    if len(chosen) <= most:  # the texts needn't be shuffled to meet them
+        marks = F.broadcast(marks)
+    windows = usable.join(marks, ["lang", "mark"]).select(
         "lang", "mark",
         F.substr("text", (1 + F.pmod(F.col("mark"), spare)).cast("int"), F.lit(chars))
         .alias("sample"),
@@ -73,6 +87,17 @@ def training_sample(
     return sorted((row["lang"], row["sample"]) for row in found)
 
 
+def _share(slots: DataFrame, rows: int, most: int) -> int:
+    """Windows that each language may keep (1 at least), so that all have ``most``."""
+    sizes = slots.groupBy("lang").agg(F.count("*").alias("size"))
+    labels = sizes.groupBy("size").agg(F.count("*").alias("labels")).collect()
+
+    def held(share: int) -> int:
+        return sum(row["labels"] * min(row["size"], share) for row in labels)
+
+    return max([n for n in range(1, rows + 1) if held(n) <= most], default=1)
+
+
 def plain(text: str) -> str:
     """Lower-case letters, with one blank for each gap between them."""
     return " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
@@ -204,6 +229,12 @@ class Model:
 
     def predict(self, texts: list[str | None]) -> pd.DataFrame:
         """lang_pred, score, entropy (bits a letter, by the best language)."""
+        most = max(1, HELD // max(1, len(self.languages)))
+        if len(texts) > most:
+            return pd.concat(
+                [self.predict(texts[at:at + most]) for at in range(0, len(texts), most)],
+                ignore_index=True,
+            )
         total = np.zeros((len(texts), len(self.languages)), dtype=np.int64)
         lengths = np.zeros(len(texts), dtype=np.int64)
         owners, pieces, held = [], [], 0

@@ -41,6 +41,36 @@ def test_phrases_as_by_hand():
     assert found["score"].between(0, 1).all()
 
 
+def drawn(draw, first, letters, words=60):
+    """A text of words of up to four letters, of a fixed few hundred."""
+    known = random.Random(first * 1000 + letters)
+    stock = ["".join(chr(first + known.randrange(letters)) for _ in range(known.randint(1, 4))) for _ in range(300)]
+    return " ".join(draw.choice(stock) for _ in range(words))
+
+
+def test_more_labels_than_languages(spark, monkeypatch):
+    draw = random.Random(6)
+    labels = {f"l{n:02}": (0x4E00 + 4 * n, 5) for n in range(3, 23)}
+    rows = [(lang, drawn(draw, *script)) for lang, script in labels.items() for _ in range(90)]
+    rows += [(f"stray {n}", drawn(draw, 0xAC00, 9, 5)) for n in range(5)]
+    docs = spark.createDataFrame([(n, text, lang) for n, (lang, text) in enumerate(rows)],
+                                 "doc_id bigint, text string, lang string")
+    found = {r["doc_id"]: r["lang_pred"] for r in lang_id.identified(docs).collect()}
+    assert len(found) == len(rows)
+    pairs = [(found[n], lang) for n, (lang, _) in enumerate(rows[:1800])]
+    assert sum(a == b for a, b in pairs) / len(pairs) > 0.97
+    sample = lang_id.training_sample(docs, "text", "lang")
+    assert {lang for lang, _ in sample} == {lang for lang, _ in rows}
+    assert len(sample) <= lang_id.LANGUAGES * lang_id.ROWS
+    monkeypatch.setattr(lang_id, "LANGUAGES", 2)
+    short = lang_id.training_sample(docs, "text", "lang", rows=2, chars=100)
+    assert {lang for lang, _ in short} == {lang for lang, _ in rows} and len(short) == 25
+    assert max(len(text) for _, text in short) == 100 * 4 // 25
+    monkeypatch.setattr(lang_id, "HELD", 30)
+    again = lang_id.fit(docs.filter(~lang_id.held_out(F.col("doc_id"))))
+    assert again.predict([rows[0][1], "", rows[90][1]])["lang_pred"].tolist() == ["l03", "und", "l04"]
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = lang_id.identified(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
