@@ -12,10 +12,8 @@ the logarithm of its sample's length, wins.
 * Every label is learned.  Where all labels together have more windows than
   ``LANGUAGES`` languages may have, each keeps an equal number of them at most, and where
   one window each is still too many, windows get shorter.  This bounds what is
-  broadcast: two states a character at most, ``LETTERS`` + 2
-  numbers a state.  Only the labels themselves grow.
-* Only letters and gaps between words count; case doesn't.  Letters beyond the
-  ``LETTERS`` most frequent ones of the samples match nothing.
+  broadcast: three transitions a character at most.  Only the labels themselves grow.
+* Only letters and gaps between words count; case doesn't.  Every letter has a code.
 * Whole texts are parsed, in blocks of ``BLOCK`` characters that many documents pass in step: a
   block's end ends a phrase.
 * A text that is null or has no letter is ``und`` with score 0.  The score is the share
@@ -27,7 +25,6 @@ the logarithm of its sample's length, wins.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,12 +36,12 @@ from kontor.llm.common import fresh, named, whole
 
 ROWS = 64
 CHARS = 1024
-LETTERS = 100
 LANGUAGES = 16
 BLOCK = 4096
 #: Characters that are parsed together; a longer text in pieces.  This bounds memory.
 TOGETHER = 2_000_000
-#: Counts (a text, a language) that are held.
+#: Languages that are parsed together, and counts (a text, a language) that are held.
+LANES = 16
 HELD = 1 << 20
 NO_LANGUAGE = "und"
 
@@ -136,49 +133,94 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
 class Model:
     """Automata of all languages as one table for parsing many texts in step.
 
-    ``steps[state + code]`` is the next state and the number of phrases that end
-    by reading the code; states are multiples of the number of codes.
+    The table is a hash table with open addressing: ``keys`` holds state * width + code,
+    ``targets`` the state that follows; -1 in both is a free place.
     """
 
-    def __init__(self, samples: dict[str, list[str]], letters: int = LETTERS) -> None:
+    def __init__(self, samples: dict[str, list[str]]) -> None:
         plains = {lang: " ".join(map(plain, texts)) for lang, texts in sorted(samples.items())}
         plains = {lang: text for lang, text in plains.items() if text.strip()}
-        counts = Counter("".join(plains.values()))
-        counts.pop(" ", None)
-        kept = sorted(sorted(counts), key=lambda c: -counts[c])[:letters]
-        code_of = {c: at + 2 for at, c in enumerate(kept)} | {" ": _GAP}
+        letters = sorted(set().union(*plains.values()) - {" "})
+        code_of = {c: at + 2 for at, c in enumerate(letters)} | {" ": _GAP}
         self.languages = list(plains)
-        self.width = len(code_of) + 1
-        # An automaton has at most two states a character.
-        most = 2 * sum(map(len, plains.values())) * self.width
-        kind = np.int32 if most < 1 << 29 else np.int64
-        steps, self.roots, size = [], [], 0
+        self.width = len(letters) + 2
+        keys, targets, self.roots, size = [], [], [], 0
         for text in plains.values():
-            follow = suffix_automaton([code_of.get(c, _OTHER) for c in text])
-            root = size * self.width
-            first = np.full(self.width, root << 2 | 1, dtype=kind)
-            for code, target in follow[0].items():
-                if code != _OTHER:
-                    first[code] = root + target * self.width << 2
-            table = np.empty((len(follow), self.width), dtype=kind)
-            table[:] = first + 1  # a phrase ends, the code begins the next
-            table[0] = first
-            for state, targets in enumerate(follow):
-                for code, target in targets.items():
-                    if code != _OTHER:
-                        table[state, code] = root + target * self.width << 2
-            steps.append(table.ravel())
-            self.roots.append(root)
+            follow = suffix_automaton([code_of[c] for c in text])
+            states = np.repeat(np.arange(size, size + len(follow)), list(map(len, follow)))
+            codes = np.fromiter((code for step in follow for code in step), dtype=np.int64)
+            keys.append(states * self.width + codes)
+            targets.append(size + np.fromiter(
+                (state for step in follow for state in step.values()), dtype=np.int32
+            ))
+            self.roots.append(size)
             size += len(follow)
-            del follow, table  # many times the room of what is kept
-        self.steps = np.concatenate(steps) if steps else np.zeros(0, dtype=kind)
+            del follow  # many times the room of what is kept
+        self._fill(np.concatenate([np.zeros(0, dtype=np.int64), *keys]),
+                   np.concatenate([np.zeros(0, dtype=np.int32), *targets]))
         self.weights = np.array([math.log2(len(text) + 2) for text in plains.values()])
-        # Codes of all characters; beyond the first plane only letters of samples differ.
+        # Codes of all characters.
         self.codes = np.fromiter(
             (code_of.get(chr(c).lower(), _OTHER) if chr(c).isalpha() else _GAP
-             for c in range(0x110000)), dtype=np.uint8, count=0x110000,
+             for c in range(0x110000)), dtype=np.int32, count=0x110000,
         )
 
+    def _fill(self, keys: np.ndarray, targets: np.ndarray) -> None:
+        self.bits = max(4, (2 * len(keys)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.targets = np.full(1 << self.bits, -1, dtype=np.int32)
+        at = self._places(keys)
+        while len(keys):
+            free = self.keys[at] == -1
+            self.keys[at[free]] = keys[free]
+            done = self.keys[at] == keys
+            self.targets[at[done]] = targets[done]
+            keys, targets, at = keys[~done], targets[~done], self._next(at[~done])
+
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def _next(self, at: np.ndarray) -> np.ndarray:
+        return (at + 1) & ((1 << self.bits) - 1)
+
+    def _follow(self, keys: np.ndarray) -> np.ndarray:
+        """The state that follows by each key, or -1."""
+        at = self._places(keys)
+        held, found = self.keys.take(at), self.targets.take(at)
+        open_ = np.flatnonzero((held != keys) & (held != -1))
+        at = at[open_]
+        while len(open_):
+            at = self._next(at)
+            held = self.keys.take(at)
+            found[open_] = self.targets.take(at)
+            more = (held != keys[open_]) & (held != -1)
+            open_, at = open_[more], at[more]
+        return found
+
+    def _parsed(
+        self, roots: np.ndarray, codes: np.ndarray, begin: np.ndarray, active: np.ndarray
+    ) -> np.ndarray:
+        """Phrases of every block by language."""
+        lanes = len(roots)
+        state = np.repeat(roots[:, None], len(begin), axis=1)
+        ended = np.zeros((lanes, len(begin)), dtype=np.int32)
+        for step, count in enumerate(active.tolist()):
+            read = codes[begin[:count] + step].astype(np.int64)
+            now = state[:, :count]
+            found = self._follow((now * self.width + read).ravel())
+            missed = np.flatnonzero(found < 0)
+            if len(missed):
+                # A phrase ends, unless none has begun; the code begins the next or is one itself.
+                lane, place = np.divmod(missed, count)
+                root = roots[lane]
+                again = self._follow(root * self.width + read[place])
+                alone = again < 0
+                ended[lane, place] += (now[lane, place] != root).astype(np.int32) + alone
+                found[missed] = np.where(alone, root, again)
+            state[:, :count] = found.reshape(lanes, count)
+        return ended + (state != roots[:, None])
+
     def phrases(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases of every text by language, and its length in codes without outer gaps."""
         lanes = len(self.languages)
@@ -207,18 +249,12 @@ class Model:
         order = np.argsort(-size, kind="stable")
         of, begin, size = of[order], begin[order], size[order]
         active = np.searchsorted(-size, -np.arange(1, (size[0] if len(size) else 0) + 1), "right")
-        roots = np.array(self.roots, dtype=self.steps.dtype)[:, None]
-        state = np.repeat(roots, len(of), axis=1)
-        ended = np.zeros((lanes, len(of)), dtype=np.int32)
-        for step, count in enumerate(active.tolist()):
-            at = state[:, :count] + codes[begin[:count] + step]
-            found = self.steps.take(at)
-            ended[:, :count] += found & 3
-            np.right_shift(found, 2, out=state[:, :count])
-        ended += state != roots
+        roots = np.array(self.roots, dtype=np.int64)
         total = np.zeros((lanes, len(texts)), dtype=np.int64)
-        for lane in range(lanes):
-            total[lane] = np.bincount(of, weights=ended[lane], minlength=len(texts))
+        for first in range(0, lanes, LANES):
+            ended = self._parsed(roots[first:first + LANES], codes, begin, active)
+            for lane, own in enumerate(ended, first):
+                total[lane] = np.bincount(of, weights=own, minlength=len(texts))
         return total.T, lengths
 
     def _add(self, total, lengths, owners: list[int], pieces: list[str]) -> None:

@@ -48,11 +48,31 @@ def drawn(draw, first, letters, words=60):
     return " ".join(draw.choice(stock) for _ in range(words))
 
 
+#: Two languages of one script with many letters, and four more scripts: first letter, letters.
+SCRIPTS = {"zh": (0x4E00, 900), "ja": (0x4E00, 901), "ko": (0xAC00, 700), "ru": (0x430, 32),
+           "he": (0x5D0, 27), "en": (0x61, 26), "xx": (0x20000, 300)}
+
+
+def test_letters_of_many_scripts():
+    draw = random.Random(5)
+    samples = {lang: [drawn(draw, *script, 200)] * (40 if lang in ("en", "ru", "he") else 1)
+               for lang, script in SCRIPTS.items()}
+    model = lang_id.Model(samples)
+    plains = {lang: " ".join(map(lang_id.plain, texts)) for lang, texts in sorted(samples.items())}
+    texts = [drawn(draw, *script, 15) for script in SCRIPTS.values()] + ["\u4e01\U0001f600\u10a0 \u4e02", ""]
+    total, lengths = model.phrases(texts)
+    for row, text in enumerate(texts):
+        assert lengths[row] == len(lang_id.plain(text))
+        for lane, lang in enumerate(model.languages):
+            assert total[row, lane] == parse(lang_id.plain(text), plains[lang]), (text, lang)
+    assert model.predict(texts)["lang_pred"].tolist()[:len(SCRIPTS)] == list(SCRIPTS)
+
+
 def test_more_labels_than_languages(spark, monkeypatch):
     draw = random.Random(6)
-    labels = {f"l{n:02}": (0x4E00 + 4 * n, 5) for n in range(3, 23)}
+    labels = {f"l{n:02}": (0x4E00 + 20 * n, 30) for n in range(3, 23)}
     rows = [(lang, drawn(draw, *script)) for lang, script in labels.items() for _ in range(90)]
-    rows += [(f"stray {n}", drawn(draw, 0xAC00, 9, 5)) for n in range(5)]
+    rows += [(f"stray {n}", drawn(draw, 0xAC00, 50, 5)) for n in range(5)]
     docs = spark.createDataFrame([(n, text, lang) for n, (lang, text) in enumerate(rows)],
                                  "doc_id bigint, text string, lang string")
     found = {r["doc_id"]: r["lang_pred"] for r in lang_id.identified(docs).collect()}
@@ -67,6 +87,7 @@ def test_more_labels_than_languages(spark, monkeypatch):
     assert {lang for lang, _ in short} == {lang for lang, _ in rows} and len(short) == 25
     assert max(len(text) for _, text in short) == 100 * 4 // 25
     monkeypatch.setattr(lang_id, "HELD", 30)
+    monkeypatch.setattr(lang_id, "LANES", 3)
     again = lang_id.fit(docs.filter(~lang_id.held_out(F.col("doc_id"))))
     assert again.predict([rows[0][1], "", rows[90][1]])["lang_pred"].tolist() == ["l03", "und", "l04"]
 
