@@ -344,8 +344,13 @@ def identified(
 def keep_identified(
     docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id"
 ) -> DataFrame:
-    """The documents that have a language, all columns as they are."""
+    """The documents that have a language, all columns as they are.
+
+    Where no language could be learned, these are the documents with a letter.
+    """
     model = fit(docs.filter(~held_out(named(key))), text, lang)
+    if not model.languages:
+        model = Model({"any": ["a"]})
     marked = with_language(docs, model, text)
     pred = marked.columns[len(docs.columns)]
     return marked.filter(named(pred) != NO_LANGUAGE).select(

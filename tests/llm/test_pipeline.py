@@ -4,10 +4,11 @@ from collections import Counter, defaultdict
 
 from test_mixing_sharding import targets, words
 from test_simhash import by_hand, groups_by_hand
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from kontor.llm import queries
+from kontor.llm import lang_id, queries
 from kontor.session import stored
 
 SMALL = "/root/testdata/sf0.001"
@@ -59,6 +60,16 @@ def test_every_stage(spark, documents):
     assert all(n <= 4096 and n & (n - 1) == 0 for n in fill.values())
 
 
+def test_nothing_to_learn_from(spark, documents, odd):
+    for docs in (documents.withColumn("lang", F.lit(None).cast("string")),
+                 odd.select(*COLUMNS).withColumn("lang", F.lit(None).cast("string")),
+                 documents.withColumn("lang", F.when(lang_id.held_out(F.col("doc_id")), F.col("lang")))):
+        left = lang_id.keep_identified(docs)
+        key = lambda r: [(x is not None, x) for x in r]
+        want = [r for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")]
+        assert want and sorted(left.collect(), key=key) == sorted(want, key=key)
+
+
 def test_odd_rows_and_none_pass_all_stages(spark, odd, nothing):
     for docs in (odd.select(*COLUMNS), nothing):
         for _, stage in corpus_pipeline.STAGES:
