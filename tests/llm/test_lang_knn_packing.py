@@ -53,7 +53,9 @@ SCRIPTS = {"zh": (0x4E00, 900), "ja": (0x4E00, 901), "ko": (0xAC00, 700), "ru":
            "he": (0x5D0, 27), "en": (0x61, 26), "xx": (0x20000, 300)}
 
 
-def test_letters_of_many_scripts():
+@pytest.mark.parametrize("most", [0, lang_id.PLAIN, 1 << 28])
+def test_letters_of_many_scripts(monkeypatch, most):
+    monkeypatch.setattr(lang_id, "PLAIN", most)
     draw = random.Random(5)
     samples = {lang: [drawn(draw, *script, 200)] * (40 if lang in ("en", "ru", "he") else 1)
                for lang, script in SCRIPTS.items()}
