@@ -177,7 +177,7 @@ class Model:
     def _spread(self, keys: np.ndarray, targets: np.ndarray, size: int) -> None:
         table = np.empty((size, self.width), dtype=np.int32)
         ahead = targets * np.int32(self.width) << 2
-        for root, end in zip(self.roots, [*self.roots[1:], size], strict=True):
+        for root, end in zip(self.roots, [*self.roots, size][1:], strict=True):
             first = np.full(self.width, root * self.width << 2 | 1, dtype=np.int32)
             own = keys // self.width == root
             first[keys[own] % self.width] = ahead[own]
