@@ -3,13 +3,12 @@ from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+sys.path[:0] = [str(Path(__file__).resolve().parent.parent), str(Path(__file__).resolve().parent)]
 
+from helpers import SMALL  # noqa: E402
 from kontor.session import local_session  # noqa: E402
 from kontor.sources.retail import RetailSource, RetailStar  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -32,9 +31,3 @@ def star(spark):
 def frame(spark):
     """A frame from rows and a DDL text."""
     return lambda rows, layout: spark.createDataFrame(rows, layout)
-
-
-def values(df, *columns):
-    """Rows as sorted tuples, nulls first."""
-    rows = [tuple(row) for row in df.select(*(columns or df.columns)).collect()]
-    return sorted(rows, key=lambda row: [(value is not None, str(type(value)), value) for value in row])

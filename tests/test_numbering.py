@@ -3,7 +3,7 @@
 from collections import Counter
 
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from kontor.operators import numbering

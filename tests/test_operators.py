@@ -4,7 +4,7 @@ import datetime as dt
 from collections import Counter
 
 import pytest
-from conftest import values
+from helpers import values
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

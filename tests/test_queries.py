@@ -1,7 +1,7 @@
 """Every query against its SQL, and the shape of some plans."""
 
 import pytest
-from conftest import SMALL
+from helpers import SMALL
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry

@@ -1,7 +1,7 @@
 """Reading and writing."""
 
 import pytest
-from conftest import SMALL, values
+from helpers import SMALL, values
 
 from kontor import session
 from kontor.sources import tables
