@@ -12,144 +12,26 @@ end to end, and cut into sequences.
   is empty and gives the end id alone.  An empty table gives an empty result.
 * Texts are encoded once and stored; ids, not texts, are shuffled.  Ranges are stored
   before their offsets are taken, so that a lost executor changes nothing.
-* Words between ASCII white space are encoded once per worker.  This needs
-  a tokenizer that drops white space and keeps words apart; others are
-  told by a test and then encode whole texts.
+* ``tokens`` says how texts are encoded.
 """
 
 from __future__ import annotations
 
-import os
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kontor.llm.common import fresh, named, tasks, whole
+from kontor.llm.tokens import encoder, pieces
 from kontor.session import stored
 
 LENGTH = 4096
 END_ID = 2
 DIMENSIONS = 4
 BITS = 12
-#: Words that a worker remembers, and bytes of text that it encodes at once.
-WORDS = 400_000
-TOGETHER = 4 << 20
-
-
-class Encoder:
-    """Ids of many texts at once; words are encoded when first seen.
-
-    What a word may be reduced to before it is looked up depends on the tokenizer, and is
-    tried out on a few words first: whether white space keeps words apart, whether a stop or
-    comma behind Latin letters does, and whether lower-case Latin letters reach the model byte
-    by byte.
-    """
-
-    #: Letters before this are told apart from others in the same way everywhere, and
-    #: have no other form.
-    LATIN = "\u0250"
-
-    def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks share the cores already
-        self.tokenizer = tokenizers.Tokenizer.from_file(path)
-        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        probe = "Some words,\n\tapart: 'tis 12 o'clock \u00e9 Indeed, THE words. of"
-        split = [x for word in probe.split() for x in self.one(word)]
-        self.by_word = self.one(f" {probe} ") == split
-        bytewise = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.shown = {
-            char: bytewise.pre_tokenize_str(char)[0][0] for char in map(chr, range(ord(self.LATIN)))
-        }
-        letters = ["some", "words", "the", "of", "thntblere", "ea", "éçaux", "größe", "ñœł"]
-        self.direct = all(
-            self.one(word) == self._model(word) == self.one(word.title())
-            and all(self.one(word + end) == self._model(word) + self.one(end) for end in ".,")
-            for word in letters
-        )
-        self.forget()
-
-    def one(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _model(self, word: str) -> list[int]:
-        shown = word if word.isascii() else "".join([self.shown[char] for char in word])
-        return [token.id for token in self.tokenizer.model.tokenize(shown)]
-
-    def _latin(self, word: str) -> bool:
-        return word.isalpha() and (word.isascii() or max(word) < self.LATIN)
-
-    def forget(self) -> None:
-        self.places: dict[str, int] = {}
-        self.stems: dict[str, bytes] = {}
-        self.starts = np.zeros(0, dtype=np.int64)
-        self.sizes = np.zeros(0, dtype=np.int64)
-        self.pool = np.zeros(0, dtype=np.uint32)
-
-    def _stem(self, word: str) -> tuple[str, str]:
-        """A word as it is looked up, and the stop or comma behind it."""
-        if self.direct:
-            stem, end = (word[:-1], word[-1]) if word[-1:] in (".", ",") else (word, "")
-            if self._latin(stem) and self._latin(stem.lower()):
-                return stem.lower(), end
-        return word, ""
-
-    def _learn(self, words: list[str]) -> None:
-        parts = [self._stem(word) for word in words]
-        new = {part for pair in parts for part in pair if part not in self.stems}
-        plain = [x for x in new if self.direct and self._latin(x) and x == x.lower()]
-        other = list(new.difference(plain))
-        self.stems.update((x, array("I", self._model(x)).tobytes()) for x in plain)
-        encoded = self.tokenizer.encode_batch_fast(other, add_special_tokens=False)
-        self.stems.update(
-            (x, array("I", found.ids).tobytes()) for x, found in zip(other, encoded, strict=True)
-        )
-        found = [self.stems[stem] + self.stems[end] for stem, end in parts]
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
-        self.places.update(zip(words, range(len(self.sizes), len(self.sizes) + len(words))))
-        starts = len(self.pool) + np.cumsum(sizes) - sizes
-        self.starts = np.concatenate([self.starts, starts])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(found), dtype=np.uint32)])
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, and the number of ids of every text."""
-        if not self.by_word:
-            found = [self.one(text) for text in texts.to_pylist()]
-            sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-            return np.fromiter(
-                (x for ids in found for x in ids), dtype=np.uint32, count=sizes.sum()
-            ), sizes
-        lists = pc.ascii_split_whitespace(texts)
-        words = lists.flatten().dictionary_encode()
-        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if len(self.places) > WORDS:
-            self.forget()
-        self._learn([word for word in distinct if word not in self.places])
-        places = np.fromiter(
-            (self.places[word] for word in distinct), dtype=np.int64, count=len(distinct)
-        )[words.indices.to_numpy(zero_copy_only=False)]
-        sizes = self.sizes[places]
-        ends = np.cumsum(sizes)
-        at = np.repeat(self.starts[places] - (ends - sizes), sizes)
-        ids = self.pool[at + np.arange(len(at))]
-        counts = np.diff(lists.offsets.to_numpy(zero_copy_only=False))
-        owner = np.concatenate([[0], ends])
-        bounds = np.concatenate([[0], np.cumsum(counts)])
-        return ids, owner[bounds[1:]] - owner[bounds[:-1]]
-
-
-def _encoder(path: str) -> Encoder:
-    """One encoder for all tasks of a worker."""
-    kept = vars(tokenizers).setdefault("_kontor_encoders", {})
-    if path not in kept:
-        kept[path] = Encoder(path)
-    return kept[path]
 
 
 def hilbert_key(points: np.ndarray, bits: int) -> np.ndarray:
@@ -194,25 +76,15 @@ def _curve(ids: np.ndarray, ends: np.ndarray, table: np.ndarray) -> np.ndarray:
     return hilbert_key(np.clip(points, 0, (1 << BITS) - 1), BITS)
 
 
-def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """The batch in pieces of whole texts, of some ``TOGETHER`` bytes or one text."""
-    sizes = pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False)
-    number = np.cumsum(sizes + 1) // TOGETHER
-    bounds = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(batch)]
-    for start, stop in zip(bounds, bounds[1:], strict=False):
-        if stop > start:
-            yield batch.slice(start, stop - start)
-
-
 def encoded(docs: DataFrame, path: str, text: str, key: str) -> DataFrame:
     """id, curve, tokens, ids (two or four bytes each) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
-        width = "<u2" if max(encoder.size, END_ID + 1) <= 1 << 16 else "<u4"
-        table = signs(max(encoder.size, END_ID + 1))
-        for batch in (part for batch in batches for part in _parts(batch)):
-            plain, sizes = encoder.encode(batch["text"])
+        own = encoder(path)
+        width = "<u2" if max(own.size, END_ID + 1) <= 1 << 16 else "<u4"
+        table = signs(max(own.size, END_ID + 1))
+        for batch in (part for batch in batches for part in pieces(batch)):
+            plain, sizes = own.encode(batch["text"])
             ends = np.cumsum(sizes + 1)
             ids = np.full(int(ends[-1]), END_ID, dtype=width)
             inner = np.ones(len(ids), dtype=bool)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from kontor.llm import (
     exact_dedup, knn, lang_id, lm_score, mixing, oracles, packing, pii, sharding, simhash,
-    url_filter,
+    token_files, url_filter,
 )
 
 SHARDS = 16
@@ -102,3 +102,8 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_groups(read(spark, folder, "documents")).drop("mark")
+
+
+@query
+def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.through_files(read(spark, folder, "documents"), tokenizer_path())

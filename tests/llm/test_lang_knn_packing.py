@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from kontor.llm import knn, lang_id, packing, queries
+from kontor.llm import knn, lang_id, packing, queries, tokens
 
 ROWS = "vec_id bigint, embedding array<float>, label int"
 
@@ -202,7 +202,7 @@ def test_pieces_hold_every_id(documents, odd):
 def test_words_are_encoded_as_in_their_text():
     import pyarrow as pa
 
-    encoder = packing.Encoder(queries.tokenizer_path())
+    encoder = tokens.Encoder(queries.tokenizer_path())
     assert encoder.by_word
     draw = random.Random(1)
     signs = "aAéÉßñÑœ.,'-1 \n\tİıŉǅǆªºΣς!<|>\u0301"

@@ -56,6 +56,6 @@ def test_as_sql_with_nulls(spark, odd, tmp_path, name):
 def test_what_is_registered():
     names = set(__spark_entry__.queries())
     assert {"pipeline", *queries.QUERIES} <= names
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 13)] == [1] * 12
     assert set(__spark_entry__.oracle_sql()) <= names and corpus_pipeline.ORACLE_SQL is None
     assert oracles.LM_SCORE
