@@ -151,3 +151,46 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS x FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PARTITION BY x) AS group_size,
   doc_id = max(doc_id) OVER (PARTITION BY x) AS kept, sha256(x) AS text_sha256
 FROM d"""
+
+RESAMPLING = f"""
+WITH bytewise AS (
+  SELECT list_transform(range(0, 256), lambda n: list_reduce(
+    [CAST(n AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+texts AS (
+  SELECT row_number() OVER () AS r, doc_id, text, 1 AS own FROM documents
+  UNION ALL SELECT NULL, NULL, text, 0 FROM benchmark),
+words AS (
+  SELECT r, doc_id, own, regexp_extract_all(
+    {_LOWER.format("coalesce(text, '')")}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM texts),
+listed AS (
+  SELECT r, own, unnest(list_concat(w, list_transform(
+    range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS feature FROM words),
+counted AS (SELECT r, own, feature, count(*) AS n FROM listed GROUP BY ALL),
+bucketed AS (
+  SELECT feature, xor(list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+      regexp_extract_all(hex(encode(feature)), '..'), lambda pair: CAST('0x' || pair AS BIGINT))),
+    lambda c, n: xor(c // 256, t[xor(c, n) % 256 + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT feature FROM counted), bytewise),
+sums AS (
+  SELECT bucket, coalesce(sum(n) FILTER (own = 1), 0) AS s, coalesce(sum(n) FILTER (own = 0), 0) AS t
+  FROM counted JOIN bucketed USING (feature) GROUP BY bucket),
+everything AS (SELECT coalesce(sum(s), 0) AS every_s, coalesce(sum(t), 0) AS every_t FROM sums),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(
+    CAST(t + 1 AS DOUBLE) * CAST(every_s + 10000 AS DOUBLE)
+    / (CAST(s + 1 AS DOUBLE) * CAST(every_t + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+  FROM sums, everything),
+weights AS (
+  SELECT r, CAST(sum(n) AS BIGINT) AS n_features, CAST(floor(sum(n * gain) / sum(n)) AS BIGINT) AS weight
+  FROM counted JOIN bucketed USING (feature) JOIN gains USING (bucket) WHERE own = 1 GROUP BY r),
+scored AS (
+  SELECT doc_id, len(w) < 20 AS short, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || sha256(
+      '7:' || coalesce(CAST(doc_id AS VARCHAR), 'null'))[1:8] AS BIGINT) + 0.5) / 4294967296.0))) AS BIGINT) AS score
+  FROM words LEFT JOIN weights USING (r) WHERE own = 1),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY short, score DESC, doc_id NULLS LAST) AS place,
+    25 * count(*) FILTER (NOT short) OVER () // 100 AS drawn FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank FROM placed"""

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kontor.llm import (
-    exact_dedup, knn, lang_id, lm_score, mixing, oracles, packing, pii, sharding, simhash,
-    token_files, url_filter,
+    exact_dedup, knn, lang_id, lm_score, mixing, oracles, packing, pii, resampling,
+    sharding, simhash, token_files, url_filter,
 )
 
 SHARDS = 16
@@ -29,6 +29,7 @@ ORACLES: dict[str, str] = {
     "op7_url_filter": oracles.url_filter(URL_RULES),
     "op8_sharding": oracles.SHARDING,
     "op9_exact_dedup": oracles.EXACT_DEDUP,
+    "op13_resampling": oracles.RESAMPLING,
 }
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -107,3 +108,8 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.through_files(read(spark, folder, "documents"), tokenizer_path())
+
+
+@query
+def op13_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resampled(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
