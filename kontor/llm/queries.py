@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kontor.llm import (
-    exact_dedup, knn, lang_id, lm_score, mixing, oracles, packing, pii, resampling,
+    conversations, exact_dedup, knn, lang_id, lm_score, mixing, oracles, packing, pii, resampling,
     sharding, simhash, token_files, url_filter,
 )
 
@@ -105,6 +105,11 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_groups(read(spark, folder, "documents")).drop("mark")
 
 
+@query
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repaired(read(spark, folder, "conversations"))
+
+
 @query
 def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.through_files(read(spark, folder, "documents"), tokenizer_path())
