@@ -126,7 +126,7 @@ def made_up(seed, convs, turns):
     return rows
 
 
-@pytest.mark.parametrize("seed, convs, turns", [(2, 60, 9), (4, 3, 120), (1, 12, 20)])
+@pytest.mark.parametrize("seed, convs, turns", [(2, 60, 9), (4, 3, 50), (1, 12, 20)])
 def test_odd_conversations(spark, seed, convs, turns):
     """Nulls, repeated rows, long conversations that straddle ranges, extra columns."""
     rows = made_up(seed, convs, turns)
@@ -142,7 +142,7 @@ def test_no_conversation(spark):
 
 
 def test_one_conversation_spreads_over_tasks(spark):
-    rows = [(1, n, "user" if n % 2 else "assistant", f"text {n}.") for n in range(2000)] + [(2, 1, "user", "x")]
+    rows = [(1, n, "user" if n % 2 else "assistant", f"text {n}.") for n in range(250)] + [(2, 1, "user", "x")]
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
     found = {row["conv_id"]: row for row in op.repaired(df).collect()}
     again = expected(rows)
