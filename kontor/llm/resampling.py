@@ -228,10 +228,21 @@ def frequent(docs: DataFrame, text: str, head: int = HEAD) -> Head:
     counted = docs.select(whole(named(text)).alias("text")).mapInArrow(
         run, "word binary, next binary, rows bigint"
     ).groupBy("word", "next").agg(F.sum("rows").alias("rows"))
-    order = [F.col("rows").desc(), "word", "next"]
-    kept = stored(counted)
-    words = kept.filter(F.col("next").isNull()).orderBy(*order).limit(head).collect()
-    pairs = kept.filter(F.col("next").isNotNull()).orderBy(*order).limit(head).collect()
+    kept = stored(counted.withColumns({
+        "level": F.floor(8 * F.log2("rows")), "pair": F.col("next").isNotNull(),
+    }))
+    # A few hundred levels of frequency tell which rows are so many that all may be sent.
+    levels = kept.groupBy("pair", "level").agg(F.count(F.lit(1)).alias("size")).collect()
+    found = []
+    for pair in (False, True):
+        cut, room = 1 << 20, head
+        for row in sorted((r for r in levels if r["pair"] == pair), key=lambda r: -r["level"]):
+            room -= row["size"]
+            if room < 0:
+                break
+            cut = row["level"]
+        found.append(kept.filter((F.col("pair") == pair) & (F.col("level") >= cut)).collect())
+    words, pairs = found
     return Head([bytes(row["word"]) for row in words],
                 [(bytes(row["word"]), bytes(row["next"])) for row in pairs])
 
