@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kontor.operators.numbering import expand_copies
+
 
 def pk_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
@@ -36,3 +39,47 @@ def fk_orphans(fact: DataFrame, foreign_key: str, dimension: DataFrame, key: str
     )
     keys = dimension.select(F.col(key).alias("_key"))
     return used.join(keys, used[foreign_key] == keys["_key"], "left_anti")
+
+
+@dataclass(frozen=True)
+class Constraints:
+    """What rows of a table must satisfy to be loaded.
+
+    ``unique``: no two rows of a batch have the same key.  ``references``: for a column the
+    table and key where its values must be; null is allowed.
+    """
+
+    not_null: Sequence[str] = ()
+    unique: Sequence[str] = ()
+    references: Mapping[str, tuple[str, str]] = field(default_factory=dict)
+
+
+def checked(batch: DataFrame, rules: Constraints, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """``batch`` with ``reasons``: the constraints each row breaks, none for a good row.
+
+    Of rows with one key one is kept, the first in the order of all columns.  Equal rows
+    are counted and travel as one, the first is found by an aggregation that combines before
+    its exchange, and met by a join that skew handling can split: a key of most rows is
+    no single task's.
+    """
+    reasons = [F.when(F.col(name).isNull(), F.lit(f"null: {name}")) for name in rules.not_null]
+    found = batch
+    if rules.unique:
+        keys = list(rules.unique)
+        order = F.struct(*[F.col(name) for name in batch.columns])
+        found = batch.groupBy(*batch.columns).agg(F.count(F.lit(1)).alias("_copies"))
+        first = found.groupBy(*[F.col(name).alias(f"_key_{name}") for name in keys]).agg(
+            F.min(order).alias("_first"))
+        same = F.lit(True)
+        for name in keys:
+            same = same & F.col(name).eqNullSafe(F.col(f"_key_{name}"))
+        found = found.join(first, same).withColumn("_later", order != F.col("_first"))
+        found = expand_copies(found.select(*batch.columns, "_copies", "_later"), "_copies", "_copy")
+        later = F.col("_later") | (F.col("_copy") > 1)
+        reasons.append(F.when(later, F.lit(f"repeated: {', '.join(keys)}")))
+    for name, (table, key) in rules.references.items():
+        known = tables[table].select(F.col(key).alias(f"_known_{name}")).distinct()
+        found = found.join(known, F.col(name) == F.col(f"_known_{name}"), "left")
+        reasons.append(F.when(
+            F.col(name).isNotNull() & F.col(f"_known_{name}").isNull(), F.lit(f"missing: {name}")))
+    return found.select(*batch.columns, F.array_compact(F.array(*reasons)).alias("reasons"))

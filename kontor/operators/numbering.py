@@ -15,6 +15,9 @@ COPY_LIMIT = 1_000_000
 # Parts that rows without a key are dealt out to.
 _SPREAD = 1 << 20
 
+# Rows of a group that one task may sort.
+LARGE = 1 << 20
+
 # monotonically_increasing_id holds the partition above this bit.
 _SLICE_BIT = 33
 
@@ -101,34 +104,40 @@ def number_within(df: DataFrame, partition: Sequence[str], order: Sequence, out:
 
 
 def line_number(
-    df: DataFrame, partition: Sequence[str], order: Sequence[str], out: str, split: int = 1
+    df: DataFrame, partition: Sequence[str], order: Sequence[str], out: str,
+    sizes: DataFrame | None = None, bound: DataFrame | None = None, limit: int = LARGE,
 ) -> DataFrame:
     """Running number of each row inside its group, null where a key is null.
 
-    ``order`` are column names, ascending, nulls last.  A group is numbered in parts: one
-    for each combination of its first ``split`` order columns, placed behind
-    the parts before it.  So a large group is spread over as many tasks as it has
-    parts, and only the sizes of its parts meet in one.  Rows with a null key
-    pass in the same plan, dealt out by a hash of the row.
+    ``order`` are column names, ascending, nulls last.  Rows meet once, by their key, and are
+    numbered there.  A group of more than ``limit`` rows is numbered over ranges instead, by
+    ``number_within``, so no task ever sorts one alone.  The large groups are told beforehand
+    from ``sizes``, a frame with the keys and a row or a count ``rows`` for each line, by default
+    the keys of ``df``; they are at most one in ``limit`` rows, so they are broadcast.  Where
+    ``bound``, by default ``df``, has no more than ``limit`` rows, no group can have.  Rows with
+    a null key pass with the others, dealt out by a hash of the row.
     """
-    dealt = F.when(_known(partition), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*df.columns), F.lit(_SPREAD)).cast("int") + 1
-    )
-    parted = df.withColumn("_part", F.struct(dealt.alias("_dealt"), *partition, *order[:split]))
-    rest = [F.col(name).asc_nulls_last() for name in order[split:]] or [F.lit(1)]
-    part = Window.partitionBy("_part")
-    numbered = parted.withColumns({
-        "_inside": F.row_number().over(part.orderBy(*rest)), "_rows": F.count(F.lit(1)).over(part),
-    })
-    before = Window.partitionBy(*[F.col("_of")[name] for name in ("_dealt", *partition)]).orderBy(
-        *[F.col("_of")[name].asc_nulls_last() for name in order[:split]]
-    ).rowsBetween(Window.unboundedPreceding, -1)
-    # The last row of each part knows its size; it comes out of the same exchange.
-    sizes = numbered.filter("_inside = _rows").select(F.col("_part").alias("_of"), "_rows")
-    offsets = sizes.select(
-        "_of", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
+    keys = list(partition)
+    dealt = F.when(_known(keys), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(*df.columns), F.lit(_SPREAD)).cast("int") + 1)
+    ordering = [F.col(name).asc_nulls_last() for name in order]
+
+    def numbered(rows: DataFrame) -> DataFrame:
+        window = Window.partitionBy("_dealt", *keys).orderBy(*ordering)
+        number = F.when(F.col("_dealt") == 0, F.row_number().over(window))
+        return rows.withColumn("_dealt", dealt).select(*df.columns, number.alias(out))
+
+    if (df if bound is None else bound).count() <= limit:
+        return numbered(df)
+    counted = (df if sizes is None else sizes).filter(_known(keys)).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows") if sizes is None or "rows" not in sizes.columns
+        else F.sum("rows").alias("_rows")
     )
-    # Structs are equal where their fields are, nulls included.
-    placed = numbered.join(offsets, F.col("_part") == F.col("_of"))
-    number = F.when(F.col("_part._dealt") == 0, F.col("_inside") + F.col("_offset"))
-    return placed.select(*df.columns, number.cast("int").alias(out))
+    large = stored(counted.filter(F.col("_rows") > limit).select(
+        *[F.col(name).alias(f"_{name}") for name in keys]))
+    if large.isEmpty():
+        return numbered(df)
+    same = [df[name] == large[f"_{name}"] for name in keys]
+    rest = df.join(F.broadcast(large), same, "left_anti")
+    hot = df.join(F.broadcast(large), same, "left_semi")
+    return numbered(rest).unionByName(number_within(hot, keys, ordering, out))

@@ -7,7 +7,7 @@ How the sales facts are laid out for scale: lookups that depend on the order
 are made on the order headers, and a product meets its surrogate key in the
 product table, so order lines are joined twice only (product, header).  A load of changed
 orders cuts the lines to these orders before anything else.  Lines are numbered
-per order number, in parts, so that a large order spreads over tasks.
+per order number where they meet; an order of over a million lines is numbered over ranges.
 """
 
 from __future__ import annotations
@@ -105,13 +105,20 @@ def _of_orders(detail: DataFrame, headers: DataFrame, cut: bool) -> DataFrame:
     return detail.join(headers.select("salesorderid").distinct(), "salesorderid", "left_semi")
 
 
-def _numbered(headers: DataFrame, lines: DataFrame) -> DataFrame:
-    """Order lines joined to their headers and numbered within the order number."""
+def _numbered(
+    headers: DataFrame, lines: DataFrame, orders: DataFrame, detail: DataFrame
+) -> DataFrame:
+    """Order lines joined to their headers and numbered within the order number.
+
+    Which orders are large is told from the ids of lines and orders alone.
+    """
     rows = headers.join(lines, "salesorderid")
     order = _LINE_ORDER + [
         name for name in rows.columns if name not in (*_LINE_ORDER, "salesordernumber")
     ]
-    return line_number(rows, ["salesordernumber"], order, _NUMBER, split=2)
+    counts = detail.groupBy("salesorderid").agg(F.count(F.lit(1)).alias("rows"))
+    sizes = orders.select("salesorderid", "salesordernumber").join(counts, "salesorderid")
+    return line_number(rows, ["salesordernumber"], order, _NUMBER, sizes, detail)
 
 
 def internet_sales(
@@ -148,7 +155,7 @@ def internet_sales(
     ])
     cut = since is not None or channel is not None
     detail = _of_orders(src["salesorderdetail"], orders, cut)
-    numbered = _numbered(headers, _lines(src, dims, detail, "left"))
+    numbered = _numbered(headers, _lines(src, dims, detail, "left"), orders, detail)
     complete = numbered.na.drop("any", subset=[
         "productkey", "promotionkey", "orderquantity", "unitprice", "extendedamount",
         "unitpricediscountpct", "discountamount", "productstandardcost", "totalproductcost",
@@ -199,7 +206,7 @@ def reseller_sales(
     )
     headers = headers.na.drop("any", subset=["orderdate", "employeekey", "currencykey"])
     detail = _of_orders(src["salesorderdetail"], orders, since is not None)
-    numbered = _numbered(headers, _lines(src, dims, detail, "inner"))
+    numbered = _numbered(headers, _lines(src, dims, detail, "inner"), orders, detail)
     # One order may have known and unknown resellers: dropped after numbering.
     complete = numbered.na.drop("any", subset=["productkey", "resellerkey"])
     return conform(

@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator, Mapping, Sequence
+import json
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from kontor.operators.columns import since
+from kontor.operators.integrity import Constraints, checked
 from kontor.operators.loading import has_new_fact_data, insert_only_new
 from kontor.operators.numbering import assign_keys
 from kontor.plans import datamart, dimensions, facts, finance
 from kontor.session import discarding
-from kontor.sources.tables import append, replace_table
+from kontor.sources.tables import replace_table
+from kontor.sources.versions import Table
 
 Tables = Mapping[str, DataFrame]
 
@@ -56,19 +62,32 @@ SURROGATE_KEYS = {
 }
 
 
+@dataclass(frozen=True)
+class Loaded:
+    """What a load did: rows added and rejected, files of the table before, and those it opened."""
+
+    rows: int
+    rejected: int = 0
+    files: int = 0
+    opened: int = 0
+
+
 class Warehouse(Mapping):
-    """Parquet tables below one folder, by name."""
+    """Versioned Parquet tables below one folder, by name."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        #: The last load of each table.
+        self.loads: dict[str, Loaded] = {}
 
-    def path(self, name: str) -> str:
-        return f"{self.folder}/{name}"
+    def table(self, name: str) -> Table:
+        return Table(self.spark, f"{self.folder}/{name}")
 
     def get(self, name: str, default: DataFrame | None = None) -> DataFrame | None:
         """The table as it is now, or ``default`` before its first load."""
-        return self.spark.read.parquet(self.path(name)) if name in self else default
+        found = self.table(name).read()
+        return default if found is None else found
 
     def __getitem__(self, name: str) -> DataFrame:
         found = self.get(name)
@@ -77,8 +96,7 @@ class Warehouse(Mapping):
         return found
 
     def __contains__(self, name: object) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(str(name)))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        return bool(self.table(str(name)).versions())
 
     def __iter__(self) -> Iterator[str]:
         return (name for name in LOAD_KEYS if name in self)
@@ -86,32 +104,117 @@ class Warehouse(Mapping):
     def __len__(self) -> int:
         return sum(1 for _ in self)
 
-    def load(self, name: str, batch: DataFrame, keys: Sequence[str] | None = None) -> int:
+    def load(
+        self, name: str, batch: DataFrame, keys: Sequence[str] | None = None,
+        rules: Constraints | None = None, watermarks: Mapping[str, str] | None = None,
+    ) -> int:
         """Append the rows of ``batch`` whose key is new; returns their number.
 
         A surrogate key continues behind the largest one of the table; rows
-        already there keep theirs.
+        already there keep theirs.  Rows that break ``rules`` go to the rejected rows of the
+        table in the same pass, whether their key is new or not.  ``watermarks`` are kept with
+        the load.  All of this is one commit.
         """
         with discarding(self.spark):
-            return self._load(name, batch, LOAD_KEYS[name] if keys is None else keys)
-
-    def _load(self, name: str, batch: DataFrame, keys: Sequence[str]) -> int:
-        existing = self.get(name)
-        fresh = insert_only_new(batch, existing, keys)
+            done = self._load(
+                name, batch, LOAD_KEYS[name] if keys is None else keys, rules, watermarks or {})
+        self.loads[name] = done
+        return done.rows
+
+    def _load(self, name: str, batch: DataFrame, keys: Sequence[str], rules, watermarks) -> Loaded:
+        table = self.table(name)
+        before = table.state()
         surrogate = SURROGATE_KEYS.get(name)
         if surrogate is not None:
-            last = None if existing is None else existing.agg(F.max(surrogate)).first()[0]
-            order = [F.col(key).asc_nulls_last() for key in keys]
-            fresh = assign_keys(fresh, order, surrogate, (last or 0) + 1)
-            if existing is not None and fresh.isEmpty():  # they are stored: a look at a file
-                return 0
-        return append(fresh, self.path(name), existing is not None and surrogate is None)
+            batch = self._keyed(table, before, batch, keys, surrogate)
+        elif before is not None:
+            batch = _as_table(batch, before)
+        rows = batch if rules is None else checked(batch, rules, self)
+        # Keys of a dimension are in order already, and they are not looked up again.
+        key = surrogate or keys[0]
+        folder, staged, rejects = table.stage(rows, key, sort=surrogate is None)
+        opened: set[str] = set()
+        files = table.files(before).collect() if before else []
+        if surrogate is None and files and staged:
+            schema = T.StructType.fromJson(before["schema"])
+            hits = table.hits(staged, files, key, schema)
+            opened = set().union(*hits.values()) if hits else set()
+            if hits:
+                # Only these rows can be known; the files of all others stay as they are.
+                doubtful = table.rows_of([row["path"] for row in staged if row["path"] in hits], schema)
+                known = table.rows_of(sorted(opened), schema)
+                _, fresh, _ = table.stage(insert_only_new(doubtful, known, keys), key)
+                staged = [row for row in staged if row["path"] not in hits] + fresh
+        added = sum(row["rows"] for row in staged)
+        rejected = sum(row["rows"] for row in rejects)
+        if before is None or added or rejected or watermarks:
+            table.commit(before, {
+                "schema": before["schema"] if before else json.loads(batch.schema.json()),
+                "lists": (before["lists"] if before else []) + table.listed(staged),
+                "rejects": (before["rejects"] if before else []) + table.listed(rejects),
+                "watermarks": (before["watermarks"] if before else {}) | dict(watermarks),
+            })
+        if not added and not rejected:
+            table.drop(folder)
+        return Loaded(added, rejected, len(files), len(opened))
+
+    def _keyed(self, table, before, batch: DataFrame, keys: Sequence[str], surrogate: str) -> DataFrame:
+        existing = None if before is None else table.read()
+        fresh = insert_only_new(batch, existing, keys)
+        last = None if existing is None else existing.agg(F.max(surrogate)).first()[0]
+        order = [F.col(key).asc_nulls_last() for key in keys]
+        return assign_keys(fresh, order, surrogate, (last or 0) + 1)
+
+    def rejected(self, name: str) -> DataFrame:
+        """The rows that loads have rejected, with ``reasons``."""
+        found = self.table(name).rejected()
+        if found is None:
+            raise KeyError(name)
+        return found
+
+    def watermark(self, name: str, source: str) -> str | None:
+        """How far the loads of a table have read a source."""
+        state = self.table(name).state()
+        return state["watermarks"].get(source) if state else None
+
+    def load_since(
+        self, name: str, source: str, rows: DataFrame, column: str = "modifieddate",
+        build: Callable[[DataFrame], DataFrame] = lambda changed: changed,
+        keys: Sequence[str] | None = None, rules: Constraints | None = None,
+    ) -> int:
+        """Load what has changed in ``rows`` since the last such load, and keep how far it came.
+
+        The watermark is the newest ``column`` read, and is committed with the load: one that
+        fails is read again.  Rows as new as the watermark are read again too, and known by key.
+        """
+        changed = since(rows, self.watermark(name, source), column)
+        newest = changed.agg(F.max(column).cast("string")).first()[0]
+        # Rows that arrive meanwhile are left to the next load.
+        upto = changed if newest is None else changed.filter(
+            F.col(column) <= F.lit(newest).cast(rows.schema[column].dataType))
+        marks = {} if newest is None else {source: newest}
+        if marks.get(source) == self.watermark(name, source):
+            marks = {}
+        return self.load(name, build(upto), keys, rules, marks)
 
     def gate(self, fact: str, date: str = "orderdate") -> bool:
         """Whether the fact should be loaded, by the dates it holds."""
         return has_new_fact_data(self.get(fact), date=date)
 
 
+def _as_table(batch: DataFrame, state: dict) -> DataFrame:
+    """``batch`` in the columns and types of the table."""
+    schema = T.StructType.fromJson(state["schema"])
+    extra = {name.lower() for name in batch.columns} - {name.lower() for name in schema.names}
+    if extra:
+        raise ValueError(f"the table has no columns {sorted(extra)}")
+    held = {name.lower() for name in batch.columns}
+    return batch.select(*[
+        (F.col(f"`{field.name}`") if field.name.lower() in held else F.lit(None))
+        .cast(field.dataType).alias(field.name) for field in schema
+    ])
+
+
 def load_dimensions(
     src: Tables,
     warehouse: Warehouse,

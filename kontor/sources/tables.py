@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from kontor.session import stored
+from kontor.sources.versions import Table
 
 # Rows per statement when writing to a database.
 BATCH_ROWS = 5000
@@ -60,32 +60,31 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(rows, F.count(F.lit(1)).alias("rows")), rows
 
 
-def append(df: DataFrame, path: str, exists: bool = False) -> int:
-    """Append to a Parquet table; returns the number of rows.
-
-    A table that ``exists`` gets no file where there is no row: the rows are
-    stored first, so that nothing is computed twice to find out.
-    """
+def append(df: DataFrame, path: str) -> int:
+    """Append to a folder of Parquet files; returns the number of rows."""
     observed, rows = counted(df)
-    if exists:
-        observed = stored(observed)
-        if not rows.get["rows"]:
-            return 0
     observed.write.mode("append").parquet(path)
     return rows.get["rows"]
 
 
 def replace_table(df: DataFrame, path: str, probe: DataFrame | None = None) -> int:
-    """Replace a Parquet table; an empty result leaves it as it is.
+    """Replace a table as one commit; an empty result leaves it as it is.
 
     ``probe`` is a cheap frame that is empty exactly when ``df`` is, such as
-    the scan ``df`` is made of.  ``df`` must not read ``path``.
+    the scan ``df`` is made of.  ``read_table`` reads the version before until the
+    new one is complete; ``df`` may read it too.
     """
     if (df if probe is None else probe).isEmpty():
         return 0
-    observed, rows = counted(df)
-    observed.write.mode("overwrite").parquet(path)
-    return rows.get["rows"]
+    return Table(df.sparkSession, path).replace(df)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The committed version of a table that ``replace_table`` has written."""
+    found = Table(spark, path).read()
+    if found is None:
+        raise FileNotFoundError(path)
+    return found
 
 
 def export_csv(df: DataFrame, name: str, folder: str = "./output", sep: str = ",") -> str:

@@ -3,7 +3,7 @@
 from collections import Counter
 
 import pytest
-from helpers import values
+from helpers import SMALL, values
 from pyspark.sql import functions as F
 
 from kontor.operators import numbering
@@ -22,27 +22,41 @@ def expected_numbers(rows, key, order):
     return out
 
 
-@pytest.mark.parametrize("split", [0, 1, 2])
-def test_line_number_with_large_groups(frame, split):
+@pytest.mark.parametrize("limit", [0, 50, 1 << 20])
+def test_line_number_with_large_groups(frame, limit):
     df = lines(frame, {"hot": 400, "warm": 60, "cold": 3, "single": 1})
-    found = numbering.line_number(df, ["k"], ["a", "b"], "line", split)
+    found = numbering.line_number(df, ["k"], ["a", "b"], "line", limit=limit)
     rows = [tuple(row) for row in df.collect()]
     expected = expected_numbers(rows, lambda r: r[0], lambda r: (r[1], r[2]))
     assert {tuple(row)[:3]: row.line for row in found.collect()} == expected
     assert found.schema["line"].dataType.simpleString() == "int"
 
 
+def test_large_groups_by_given_sizes(frame):
+    df = lines(frame, {"hot": 400, "warm": 60})
+    sizes = frame([("hot", 300), ("hot", 100), ("warm", 60), (None, 9)], "k STRING, rows BIGINT")
+    found = numbering.line_number(df, ["k"], ["a", "b"], "line", sizes, limit=100)
+    assert values(found) == values(numbering.line_number(df, ["k"], ["a", "b"], "line"))
+
+
 def test_a_large_group_is_numbered_by_many_tasks(spark, frame):
     df = lines(frame, {"hot": 7000})
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        found = numbering.line_number(df, ["k"], ["a", "b"], "line")
+        found = numbering.line_number(df, ["k"], ["a", "b"], "line", limit=1000)
         sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert max(sizes) < 7000
 
 
+def test_lines_are_exchanged_once(spark):
+    lineitem = spark.read.parquet(f"{SMALL}/lineitem.parquet")
+    order = [name for name in lineitem.columns if name != "l_orderkey"]
+    text = numbering.line_number(lineitem, ["l_orderkey"], order, "line")._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1
+
+
 def test_both_ways_give_null_keys_no_number(frame):
     df = frame([("a", 1, 1), ("a", 2, 1), (None, 2, 2), (None, 2, 3), ("a", None, 4)], "k STRING, l INT, v INT")
     for keys in (["k"], ["k", "l"]):

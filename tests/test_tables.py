@@ -32,7 +32,7 @@ def test_replace_table(spark, tmp_path):
     assert tables.replace_table(spark.range(2), path) == 2
     assert tables.replace_table(spark.range(0), path) == 0
     assert tables.replace_table(spark.range(9), path, probe=spark.range(0)) == 0
-    assert spark.read.parquet(path).count() == 2
+    assert tables.read_table(spark, path).count() == 2
 
 
 def test_csv_keeps_separators_quotes_and_letters(spark, tmp_path):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kontor.operators import integrity
 from kontor.plans import dimensions, reports
 from kontor.plans import warehouse as jobs
+from kontor.sources.tables import read_table
 
 
 @pytest.fixture(scope="module")
@@ -119,7 +120,7 @@ def test_datamart(loaded, tmp_path, spark):
     assert refreshed["dm_factresellersales"] == counts["factresellersales"]
     assert refreshed["dm_dimproduct"] == counts["dimproduct"]
     assert jobs.refresh_datamart(warehouse, str(tmp_path)) == refreshed
-    fact = spark.read.parquet(str(tmp_path / "dm_factresellersales"))
+    fact = read_table(spark, str(tmp_path / "dm_factresellersales"))
     assert fact.filter(F.col("Profit") != F.col("salesamount") - F.col("totalproductcost")).isEmpty()
 
 

@@ -494,6 +494,34 @@ WHERE NOT EXISTS (SELECT 1 FROM src_salesorderheader e WHERE e.orderdate < {_HAL
         "warehouse_keys": _with("""
 SELECT row_number() OVER (ORDER BY storeid IS NULL, accountnumber) AS customerkey,
   accountnumber AS customeralternatekey, customerid, storeid FROM src_customer""", "customer"),
+        "constrained_load": """
+WITH lines AS (
+  SELECT l_orderkey, l_linenumber, l_suppkey, CASE WHEN l_discount <> 0.05 THEN CAST(l_quantity AS DOUBLE) END AS l_quantity
+  FROM lineitem),
+parts AS (
+  SELECT 1 AS part, * FROM lines WHERE l_orderkey % 3 < 2 UNION ALL SELECT 2, * FROM lines WHERE l_orderkey % 3 > 0),
+batch AS (SELECT *, 1 AS copy FROM parts UNION ALL SELECT *, 2 FROM parts WHERE l_orderkey % 10 = 1),
+judged AS (
+  SELECT *, concat_ws('; ', 'rejected',
+    CASE WHEN l_quantity IS NULL THEN 'null: l_quantity' END,
+    CASE WHEN row_number() OVER (PARTITION BY part, l_orderkey, l_linenumber ORDER BY l_suppkey, l_quantity NULLS FIRST) > 1
+      THEN 'repeated: l_orderkey, l_linenumber' END,
+    CASE WHEN l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 10)
+      THEN 'missing: l_suppkey' END) AS status FROM batch)
+SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity, CASE status WHEN 'rejected' THEN 'loaded' ELSE status END AS status
+FROM judged j WHERE status <> 'rejected' OR part = 1 OR NOT EXISTS (
+  SELECT 1 FROM judged e WHERE e.part = 1 AND e.status = 'rejected'
+    AND e.l_orderkey = j.l_orderkey AND e.l_linenumber = j.l_linenumber)""",
+        "watermark_loads": """
+WITH bounds(load, lower, upper) AS (VALUES (1, DATE '1900-01-01', DATE '1996-06-30'),
+  (2, DATE '1996-07-01', DATE '1999-01-15'), (3, DATE '1999-01-16', DATE '2099-12-31'), (4, DATE '2100-01-01', DATE '2099-12-31'))
+SELECT load, count(o_orderkey) AS added,
+  (SELECT CAST(CAST(max(o_orderdate) AS DATE) AS VARCHAR) FROM orders WHERE o_orderdate <= upper) AS watermark,
+  (SELECT count(*) FROM orders) AS total_orders, (SELECT CAST(sum(o_orderkey) AS BIGINT) FROM orders) AS sum_of_keys
+FROM bounds LEFT JOIN orders ON o_orderdate >= lower AND o_orderdate <= upper GROUP BY load, upper""",
+        "changed_orders_load": """
+SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders
+UNION ALL SELECT o_orderkey, '2030-01-01' FROM orders WHERE o_orderkey % 97 = 5 AND o_orderkey % 1009 = 7""",
         "full_replace": _with("SELECT customerid, storeid, accountnumber FROM src_customer", "customer"),
         "csv_roundtrip": _with(
             "SELECT productid, name, color, CAST(listprice AS DOUBLE) AS listprice, finishedgoodsflag "

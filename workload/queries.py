@@ -23,7 +23,7 @@ from kontor.plans import warehouse as jobs
 from kontor.plans.warehouse import Warehouse
 from kontor.session import application_folder, configure
 from kontor.sources.retail import RetailSource, RetailStar
-from kontor.sources.tables import export_csv, load_tables, replace_table
+from kontor.sources.tables import export_csv, load_tables, read_table, replace_table
 from kontor.streaming.incremental import load_stream
 
 LOAD_DATE = dt.date(2026, 1, 1)
@@ -329,8 +329,8 @@ def loaded_reseller_mart(src, star):
     jobs.load_reseller_sales(src, warehouse, load_date=LOAD_DATE)
     folder = scratch(src.spark, "datamart")
     jobs.refresh_datamart(warehouse, folder)
-    fact = src.spark.read.parquet(f"{folder}/dm_factresellersales")
-    stores = src.spark.read.parquet(f"{folder}/dm_dimreseller")
+    fact = read_table(src.spark, f"{folder}/dm_factresellersales")
+    stores = read_table(src.spark, f"{folder}/dm_dimreseller")
     sums = fact.groupBy("resellerkey").agg(
         F.count(F.lit(1)).alias("line_count"), F.sum("salesamount").alias("sales"),
         F.sum("Profit").alias("profit"),
@@ -495,6 +495,66 @@ def warehouse_keys(src, star):
     return warehouse["dimcustomer"]
 
 
+@query
+def constrained_load(src, star):
+    """Lines loaded in two parts under constraints: rows loaded, and those rejected with reasons.
+
+    Prices are missing where the discount is five percent, some lines come twice, and only
+    suppliers of the first ten nations are known.
+    """
+    spark = src.spark
+    lines = src.given("lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey",
+        F.when(F.col("l_discount") != 0.05, F.col("l_quantity").cast("double")).alias("l_quantity"),
+    )
+    suppliers = src.given("supplier").filter("s_nationkey < 10").select("s_suppkey", "s_name")
+    warehouse = Warehouse(spark, scratch(spark, "constrained"))
+    warehouse.load("suppliers", suppliers, ["s_suppkey"])
+    rules = integrity.Constraints(
+        not_null=["l_quantity"], unique=["l_orderkey", "l_linenumber"],
+        references={"l_suppkey": ("suppliers", "s_suppkey")},
+    )
+    for part in ("l_orderkey % 3 < 2", "l_orderkey % 3 > 0"):
+        batch = lines.filter(part)
+        again = batch.filter("l_orderkey % 10 = 1")
+        warehouse.load("lines", batch.unionByName(again), ["l_orderkey", "l_linenumber"], rules)
+    loaded = warehouse["lines"].withColumn("status", F.lit("loaded"))
+    rejected = warehouse.rejected("lines").withColumn(
+        "status", F.concat_ws("; ", F.lit("rejected"), "reasons")).drop("reasons")
+    return loaded.unionByName(rejected)
+
+
+@query
+def watermark_loads(src, star):
+    """Orders loaded three times since the watermark, and once more; what each load added."""
+    spark = src.spark
+    orders = src.given("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    warehouse = Warehouse(spark, scratch(spark, "watermarks"))
+    loads = []
+    for upto in ("1996-06-30", "1999-01-15", "2099-12-31", "2099-12-31"):
+        known = orders.filter(F.col("o_orderdate") <= F.lit(upto).cast(orders.schema["o_orderdate"].dataType))
+        added = warehouse.load_since("orders", "erp", known, "o_orderdate", keys=["o_orderkey"])
+        loads.append((len(loads) + 1, added, warehouse.watermark("orders", "erp")[:10]))
+    done = spark.createDataFrame(loads, "load INT, added BIGINT, watermark STRING")
+    total = warehouse["orders"].agg(
+        F.count(F.lit(1)).alias("total_orders"), F.sum("o_orderkey").alias("sum_of_keys"))
+    return done.join(F.broadcast(total))
+
+
+@query
+def changed_orders_load(src, star):
+    """All orders but one day's are loaded, then that day's and some whose date has changed."""
+    spark = src.spark
+    orders = src.given("orders").select(
+        "o_orderkey", F.col("o_orderdate").cast("string").substr(1, 10).alias("day"))
+    late = orders.filter(F.col("o_orderkey") % 97 == 5)
+    changed = orders.filter(F.col("o_orderkey") % 1009 == 7).withColumn("day", F.lit("2030-01-01"))
+    warehouse = Warehouse(spark, scratch(spark, "changed"))
+    warehouse.load("orders", orders.filter(F.col("o_orderkey") % 97 != 5), ["o_orderkey"])
+    warehouse.load("orders", late.unionByName(changed), ["o_orderkey"])
+    return warehouse["orders"]
+
+
 @query
 def full_replace(src, star):
     spark = src.spark
@@ -503,7 +563,7 @@ def full_replace(src, star):
     replace_table(src["customer"].select("customerid", "accountnumber"), path)
     replace_table(src["customer"].select("customerid", "storeid", "accountnumber"), path)
     replace_table(src["customer"].select("customerid", "accountnumber").limit(0), path)
-    return spark.read.parquet(path)
+    return read_table(spark, path)
 
 
 @query
