@@ -25,6 +25,15 @@ MONTH_NAMES = {
     ],
 }
 
+# Columns of the profiled tables, and whether they are numbers.
+PROFILED = {
+    "orders": {"o_orderkey": True, "o_custkey": True, "o_orderstatus": False, "o_totalprice": True,
+               "o_orderdate": False, "o_orderpriority": False},
+    "customer": {"c_custkey": True, "c_name": False, "c_nationkey": True, "c_acctbal": True, "c_mktsegment": False},
+    "lineitem": {"l_orderkey": True, "l_partkey": True, "l_suppkey": True, "l_linenumber": True, "l_quantity": True,
+                 "l_extendedprice": True, "l_discount": True, "l_tax": True, "l_returnflag": False,
+                 "l_linestatus": False, "l_shipdate": False},
+}
 _HALFWAY = "TIMESTAMP '1998-01-01 00:00:00'"
 
 # Customers whose survey is well-formed.
@@ -494,6 +503,12 @@ WHERE NOT EXISTS (SELECT 1 FROM src_salesorderheader e WHERE e.orderdate < {_HAL
         "warehouse_keys": _with("""
 SELECT row_number() OVER (ORDER BY storeid IS NULL, accountnumber) AS customerkey,
   accountnumber AS customeralternatekey, customerid, storeid FROM src_customer""", "customer"),
+        "frame_profile": " UNION ALL ".join(
+            f"""SELECT '{table}' AS table_name, '{name}' AS column_name, count(*) AS rows, count(*) - count({name}) AS nulls,
+  {f'CAST(min({name}) AS DOUBLE)' if number else 'NULL'} AS least, {f'CAST(max({name}) AS DOUBLE)' if number else 'NULL'} AS largest,
+  {'NULL' if number else f'CAST(min({name}) AS VARCHAR)'} AS "first", {'NULL' if number else f'CAST(max({name}) AS VARCHAR)'} AS "last"
+FROM {table}"""
+            for table, names in PROFILED.items() for name, number in names.items()),
         "constrained_load": """
 WITH lines AS (
   SELECT l_orderkey, l_linenumber, l_suppkey, CASE WHEN l_discount <> 0.05 THEN CAST(l_quantity AS DOUBLE) END AS l_quantity

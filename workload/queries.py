@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from kontor.functions import text
 from kontor.functions.calendar import date_key
 from kontor.functions.survey import with_individual_survey, with_store_survey
-from kontor.operators import hierarchy, integrity, loading, numbering
+from kontor.operators import hierarchy, integrity, loading, numbering, profile
 from kontor.operators.columns import conform, since
 from kontor.operators.dedupe import latest_per_key
 from kontor.operators.lookup import PLACE, lookup_composite, translate
@@ -495,6 +495,17 @@ def warehouse_keys(src, star):
     return warehouse["dimcustomer"]
 
 
+@query
+def frame_profile(src, star):
+    """What the columns of three tables hold; estimates are left to the tests."""
+    parts = [
+        profile.profile(profile.sketches(src.given(name))).withColumn("table_name", F.lit(name))
+        for name in ("orders", "customer", "lineitem")
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select(
+        "table_name", "column_name", "rows", "nulls", "least", "largest", "first", "last")
+
+
 @query
 def constrained_load(src, star):
     """Lines loaded in two parts under constraints: rows loaded, and those rejected with reasons.
