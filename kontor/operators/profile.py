@@ -28,8 +28,8 @@ def _measures(name: str, kind: T.DataType) -> Column:
         F.lit(kind.simpleString()).alias("column_type"),
         F.count(F.lit(1)).alias("rows"),
         F.count_if(known.isNull()).alias("nulls"),
-        (F.min(known.cast("double")) if number else F.lit(None).cast("double")).alias("least"),
-        (F.max(known.cast("double")) if number else F.lit(None).cast("double")).alias("largest"),
+        (F.min(known.cast("double")) + F.lit(0.0) if number else F.lit(None).cast("double")).alias("least"),
+        (F.max(known.cast("double")) + F.lit(0.0) if number else F.lit(None).cast("double")).alias("largest"),
         (F.min(known).cast("string") if ordered and not number else F.lit(None).cast("string")).alias("first"),
         (F.max(known).cast("string") if ordered and not number else F.lit(None).cast("string")).alias("last"),
         (F.lit(None).cast("binary") if isinstance(kind, (T.MapType, T.VariantType))

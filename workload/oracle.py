@@ -505,7 +505,7 @@ SELECT row_number() OVER (ORDER BY storeid IS NULL, accountnumber) AS customerke
   accountnumber AS customeralternatekey, customerid, storeid FROM src_customer""", "customer"),
         "frame_profile": " UNION ALL ".join(
             f"""SELECT '{table}' AS table_name, '{name}' AS column_name, count(*) AS rows, count(*) - count({name}) AS nulls,
-  {f'CAST(min({name}) AS DOUBLE)' if number else 'NULL'} AS least, {f'CAST(max({name}) AS DOUBLE)' if number else 'NULL'} AS largest,
+  {f'CAST(min({name}) AS DOUBLE) + 0.0' if number else 'NULL'} AS least, {f'CAST(max({name}) AS DOUBLE) + 0.0' if number else 'NULL'} AS largest,
   {'NULL' if number else f'CAST(min({name}) AS VARCHAR)'} AS "first", {'NULL' if number else f'CAST(max({name}) AS VARCHAR)'} AS "last"
 FROM {table}"""
             for table, names in PROFILED.items() for name, number in names.items()),
