@@ -110,34 +110,49 @@ def _assigned(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
     return vectors.mapInArrow(run, "id bigint, vector binary, cell int, apart double")
 
 
-def _summaries(assigned: DataFrame, k: int) -> dict[int, tuple[int, float, list[float]]]:
-    """Of each cell its size, its radius and the ``k + 1`` smallest distances."""
+def _summaries(assigned: DataFrame, k: int) -> dict[int, tuple[int, float, list[float], list[int]]]:
+    """Of each cell its size, its radius and the ``k + 1`` smallest distances of different ids
+    with these ids."""
+
+    def nearest(apart: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(apart, kind="stable")
+        first = np.sort(np.unique(ids[order], return_index=True)[1])[:k + 1]
+        return apart[order[first]], ids[order[first]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[int, tuple[int, float, np.ndarray]] = {}
+        kept: dict[int, tuple[int, float, np.ndarray, np.ndarray]] = {}
         for batch in batches:
             cells = batch["cell"].to_numpy(zero_copy_only=False)
             apart = batch["apart"].to_numpy(zero_copy_only=False)
+            ids = batch["id"].to_numpy(zero_copy_only=False)
             for cell in np.unique(cells).tolist():
                 own = apart[cells == cell]
-                count, radius, least = kept.get(cell, (0, 0.0, np.zeros(0)))
-                least = np.sort(np.concatenate([least, own]))[:k + 1]
-                kept[cell] = count + len(own), max(radius, float(own.max())), least
+                count, radius, least, names = kept.get(
+                    cell, (0, 0.0, np.zeros(0), np.zeros(0, dtype=np.int64)))
+                kept[cell] = (count + len(own), max(radius, float(own.max())), *nearest(
+                    np.concatenate([least, own]), np.concatenate([names, ids[cells == cell]])))
         yield pa.RecordBatch.from_arrays([
             pa.array(list(kept), pa.int32()), pa.array([x[0] for x in kept.values()], pa.int64()),
             pa.array([x[1] for x in kept.values()], pa.float64()),
             pa.array([x[2].tolist() for x in kept.values()], pa.list_(pa.float64())),
-        ], ["cell", "rows", "radius", "least"])
+            pa.array([x[3].tolist() for x in kept.values()], pa.list_(pa.int64())),
+        ], ["cell", "rows", "radius", "least", "names"])
 
-    parts = assigned.select("cell", "apart").mapInArrow(
-        run, "cell int, rows bigint, radius double, least array<double>"
-    )
+    parts = stored(assigned.select("cell", "id", "apart").mapInArrow(
+        run, "cell int, rows bigint, radius double, least array<double>, names array<bigint>"
+    ))
     # Each task sends k + 1 numbers a cell.
-    whole = parts.groupBy("cell").agg(
-        F.sum("rows").alias("rows"), F.max("radius").alias("radius"),
-        F.slice(F.sort_array(F.flatten(F.collect_list("least"))), 1, k + 1).alias("least"),
+    whole = parts.groupBy("cell").agg(F.sum("rows").alias("rows"), F.max("radius").alias("radius"))
+    near = parts.select(
+        "cell", F.inline(F.arrays_zip("least", "names"))
+    ).groupBy("cell", "names").agg(F.min("least").alias("least")).groupBy("cell").agg(
+        F.slice(F.sort_array(F.collect_list(F.struct("least", "names"))), 1, k + 1).alias("near")
     )
-    return {row["cell"]: (row["rows"], row["radius"], row["least"]) for row in whole.collect()}
+    return {
+        row["cell"]: (row["rows"], row["radius"], [x["least"] for x in row["near"]],
+                      [x["names"] for x in row["near"]])
+        for row in whole.join(near, "cell").collect()
+    }
 
 
 def _routed(
@@ -147,6 +162,7 @@ def _routed(
     width = pivots.shape[1]
     names = sorted(cells)
     radius = np.array([cells[name][1] for name in names])
+    near = np.array([x for name in names for x in cells[name][3]], dtype=np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,9 +172,11 @@ def _routed(
             lower = np.concatenate([
                 at[:, [n]] - size * np.array(cells[name][2]) for n, name in enumerate(names)
             ], axis=1)
-            # One of the k + 1 may be the query's own row.
-            if lower.shape[1] > k:
-                floor = np.partition(lower, -(k + 1), axis=1)[:, -(k + 1)] - slack[:, 0]
+            # Rows of the query's own id don't count.
+            ids = batch["id"].to_numpy(zero_copy_only=False)
+            lower[ids[:, None] == near[None, :]] = -np.inf
+            if lower.shape[1] >= k:
+                floor = np.partition(lower, -k, axis=1)[:, -k] - slack[:, 0]
             else:
                 floor = np.full(len(q), -np.inf)
             rows, found = np.nonzero(at + size * radius + slack >= floor[:, None])
@@ -180,10 +198,10 @@ def _routed(
 def _best(scores: np.ndarray, own: np.ndarray, names: np.ndarray, floor: np.ndarray, k: int):
     """Places (query, vector) of the k best of each query; ``names`` ascends."""
     held = own[:, None] != names[None, :]
-    if scores.shape[1] > k + 1:
-        # A query's own row is one of those that reach the bound at most.
-        bound = np.partition(scores, -(k + 1), axis=1)[:, -(k + 1)]
-        held &= scores >= np.maximum(bound, np.ceil(floor))[:, None]
+    if scores.shape[1] > k:
+        bound = np.partition(
+            np.where(held, scores, np.iinfo(np.int64).min), -k, axis=1)[:, -k]
+        held &= (scores >= bound[:, None]) & (scores >= np.ceil(floor)[:, None])
     rows, columns = np.nonzero(held)
     order = np.lexsort((columns, -scores[rows, columns], rows))
     rows, columns = rows[order], columns[order]

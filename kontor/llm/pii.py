@@ -46,7 +46,7 @@ _LOCAL = r"[A-Za-z0-9._%+-]"
 KINDS = {
     "email": Kind(
         rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-        0.9, words="mail|contact|write", near=0.1,
+        0.9, words="mail|email|contact|write", near=0.1,
     ),
     "ip": Kind(
         r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
@@ -59,11 +59,11 @@ KINDS = {
     ),
     "phone": Kind(
         r"\+[0-9][\x20().0-9-]+[0-9]",
-        0.6, words="phone|call|tel|mobile|fax", near=0.3,
+        0.6, words="phone|telephone|telefon|call|tel|mobile|fax", near=0.3,
     ),
     "iban": Kind(
         r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?+[A-Z0-9]){11,30}(?![A-Za-z0-9])))[A-Z]{2}",
-        0.2, checked=0.6, words="iban|account|bank|konto|compte|cuenta", near=0.2,
+        0.2, checked=0.6, words="iban|account|bank|konto|kontonummer|compte|cuenta", near=0.2,
     ),
     "ssn": Kind(
         r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
@@ -71,6 +71,8 @@ KINDS = {
     ),
 }
 
+#: Context words count as whole words, in the plural too.
+_WHOLE = r"(?<=[^\p{{L}}\p{{N}}])(?:{})s?(?![\p{{L}}\p{{N}}])"
 #: Signs that are taken of a match, if what follows is only looked at (group 1).
 _TAKEN = {"iban": 2}
 #: Letters and digits of account numbers by country (ISO 13616).
@@ -85,7 +87,39 @@ IBAN_SIZES = {
 }
 
 _SPAN = "struct<start:int,end:int,value:string,before:string>"
-_STATE = f"struct<at:int,seen:string,spans:array<{_SPAN}>>"
+_KEPT = f"struct<end:int,kept:array<{_SPAN}>>"
+_CHUNKS = f"struct<end:int,kept:array<array<{_SPAN}>>>"
+#: Elements of an array that are added up, or filtered in order, together: what an ``aggregate``
+#: holds is copied at each step, so long arrays are taken in chunks.
+CHUNK = 128
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda total, one: total + one)
+
+
+def _chunks(values: Column) -> Column:
+    """An array that isn't empty, in chunks."""
+    last = F.floor((F.size(values) - 1) / CHUNK).cast("int")
+    return F.transform(
+        F.sequence(F.lit(0), last), lambda n: F.slice(values, n * CHUNK + 1, F.lit(CHUNK))
+    )
+
+
+def _sums_before(values: Column) -> Column:
+    """For each of some whole numbers the sum of all before it."""
+    def within(part: Column, base: Column) -> Column:
+        return F.transform(part, lambda _, n: base + _sum(F.slice(part, F.lit(1), n)))
+
+    return _let(_chunks(values), lambda cut: _let(
+        F.transform(cut, _sum), lambda totals: F.flatten(F.transform(cut, lambda part, n: _let(
+            _sum(F.slice(totals, F.lit(1), n)), lambda base: within(part, base))))
+    ))
 
 
 def _located(text: Column, matches: Column, pattern: str, taken: int | None = None) -> Column:
@@ -96,28 +130,43 @@ def _located(text: Column, matches: Column, pattern: str, taken: int | None = No
     gaps = F.split(text, pattern, -1)
     pairs = F.arrays_zip(F.slice(gaps, 1, F.size(matches)).alias("gap"), matches.alias("value"))
 
-    def step(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["value"])
-        before = _last(F.concat(state["seen"], _last(pair["gap"])))
-        own = pair["value"] if taken is None else F.left(pair["value"], F.lit(taken))
-        span = F.struct(
-            start.alias("start"), end.alias("end"), pair["value"].alias("value"),
-            F.lower(before).alias("before"),
-        )
-        return F.struct(
-            (start + F.length(own)).alias("at"),
-            _last(F.concat(before, _last(own))).alias("seen"),
-            F.concat(state["spans"], F.array(span.cast(_SPAN))).alias("spans"),
-        ).cast(_STATE)
-
-    begin = F.from_json(F.lit('{"at":0,"seen":"","spans":[]}'), _STATE)
+    def own(value: Column) -> Column:
+        return value if taken is None else F.left(value, F.lit(taken))
+
+    cut = F.transform(pairs, lambda pair: F.struct(
+        F.length(pair["gap"]).alias("gap"), _last(pair["gap"]).alias("tail"), pair["value"].alias("value"),
+    ))
+    # So many matches and gaps reach over the window, however short they are.
+    reach = (WINDOW + 1) // (taken or 4) + 2
+
+    def spans(found: Column, sums: Column, seen: Column) -> Column:
+        def shown(one: Column, n: Column) -> Column:
+            start = F.get(sums, n) + one["gap"]
+            first = F.greatest(n + 2 - reach, F.lit(1))
+            before = _last(F.array_join(F.slice(seen, first, n + 2 - first), ""))
+            return F.struct(
+                start.alias("start"), (start + F.length(one["value"])).alias("end"),
+                one["value"].alias("value"), F.lower(before).alias("before"),
+            ).cast(_SPAN)
+
+        return F.transform(found, shown)
+
+    located = _let(cut, lambda found: _let(
+        _sums_before(F.transform(found, lambda one: one["gap"] + F.length(own(one["value"])))),
+        lambda sums: _let(
+            # A blank stands for the start of the text.
+            F.transform(found, lambda one, n: F.concat(
+                F.when(n == 0, " ").otherwise(_last(own(F.get(found, n - 1)["value"]))), one["tail"])),
+            lambda seen: spans(found, sums, seen),
+        ),
+    ))
     none = F.array().cast(f"array<{_SPAN}>")
-    return F.when(F.size(matches) > 0, F.aggregate(pairs, begin, step)["spans"]).otherwise(none)
+    return F.when(F.size(matches) > 0, located).otherwise(none)
 
 
 def _last(value: Column) -> Column:
-    return F.right(value, F.lit(WINDOW))
+    """The window before a match, and one character more to see where its first word begins."""
+    return F.right(value, F.lit(WINDOW + 1))
 
 
 def _digits(value: Column) -> Column:
@@ -181,13 +230,24 @@ def _accounts(located: Column) -> Column:
         ).cast(_SPAN),
     )
 
-    def step(kept: Column, span: Column) -> Column:
-        last = F.get(kept, F.size(kept) - 1)
-        return F.when(
-            last.isNull() | (last["end"] <= span["start"]), F.concat(kept, F.array(span))
-        ).otherwise(kept)
+    none = F.array().cast(f"array<{_SPAN}>")
+
+    def step(state: Column, span: Column) -> Column:
+        return F.when(span["start"] >= state["end"], F.struct(
+            span["end"].alias("end"), F.concat(state["kept"], F.array(span)).alias("kept"),
+        ).cast(_KEPT)).otherwise(state)
+
+    def chunk(state: Column, part: Column) -> Column:
+        begin = F.struct(state["end"].alias("end"), none.alias("kept")).cast(_KEPT)
+        return _let(F.aggregate(part, begin, step), lambda found: F.struct(
+            found["end"].alias("end"),
+            F.concat(state["kept"], F.array(found["kept"])).alias("kept"),
+        ).cast(_CHUNKS))
 
-    return F.aggregate(held, F.array().cast(f"array<{_SPAN}>"), step)
+    return _let(held, lambda spans: F.when(F.size(spans) > 1, F.aggregate(
+        _chunks(spans), F.from_json(F.lit('{"end":0,"kept":[]}'), _CHUNKS), chunk,
+        lambda state: F.flatten(state["kept"]),
+    )).otherwise(spans))
 
 
 def _holds(kind: str, value: Column) -> Column:
@@ -206,7 +266,7 @@ def _scored(kind: str, located: Column) -> Column:
     rule = KINDS[kind]
 
     def shown(span: Column) -> Column:
-        near = F.when(span["before"].rlike(rule.words), rule.near).otherwise(0.0)
+        near = F.when(span["before"].rlike(_WHOLE.format(rule.words)), rule.near).otherwise(0.0)
         return F.struct(
             F.lit(kind).alias("kind"), span["start"].alias("start"), span["end"].alias("end"),
             span["value"].alias("value"),

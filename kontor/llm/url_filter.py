@@ -44,9 +44,15 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return host, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
-def candidates(host: Column, path: Column, lengths: Sequence[int]) -> Column:
-    """Host suffixes, each with the path prefixes of the given lengths, as texts."""
-    labels = F.split(host, r"\.", -1)
+def label_count(host: Column) -> Column:
+    return F.size(F.split(host, r"\.", -1))
+
+
+def candidates(host: Column, path: Column, lengths: Sequence[int], most: int) -> Column:
+    """Host suffixes of at most ``most`` labels, as many as a rule has, each with the path
+    prefixes of the given lengths, as texts; the longest host first."""
+    end = F.substring_index(host, ".", -most)
+    labels = F.split(end, r"\.", -1)
     hosts = F.transform(
         F.sequence(F.lit(1), F.size(labels)),
         lambda first: F.array_join(F.slice(labels, first, F.size(labels)), "."),
@@ -66,7 +72,8 @@ class DigestArray:
     def __init__(self, spark: SparkSession, rules: DataFrame) -> None:
         """``rules`` has host, path and verdict (``allow`` or ``block``)."""
         rules = rules.groupBy(F.concat("host", "path").alias("rule")).agg(
-            F.min("verdict").alias("verdict"), F.max(F.length("path")).alias("path_length")
+            F.min("verdict").alias("verdict"), F.max(F.length("path")).alias("path_length"),
+            F.max(label_count(F.col("host"))).alias("labels"),
         ).filter(F.col("rule").isNotNull())
         if rules.count() > MOST_RULES:
             raise ValueError(f"more than {MOST_RULES} rules: use by_join")
@@ -74,6 +81,7 @@ class DigestArray:
             "digest", "rule"
         ).toPandas()
         self.lengths = sorted({int(n) for n in table["path_length"]}) or [0]
+        self.labels = max([int(n) for n in table["labels"]], default=1)
         texts = [rule.encode() for rule in table["rule"]]
         ends = np.cumsum([0, *map(len, texts)], dtype="<i8")
         data = b"".join([
@@ -141,7 +149,8 @@ def judged(
     array = DigestArray(pages.sparkSession, rules)
     host, path = host_and_path(named(url))
     parts = pages.select(named(key).alias("page_id"), host.alias("host"), path.alias("path"))
-    keys = parts.withColumn("keys", candidates(F.col("host"), F.col("path"), array.lengths))
+    keys = parts.withColumn("keys", candidates(
+        F.col("host"), F.col("path"), array.lengths, array.labels))
     hit = keys.select(
         "page_id", "host", "path",
         array.probe()("keys", F.transform("keys", lambda x: F.xxhash64(x))).alias("hit"),
@@ -154,11 +163,11 @@ def judged(
 
 def by_join(
     pages: DataFrame, rules: DataFrame, lengths: Sequence[int], url: str = "url",
-    key: str = "page_id", default: str = "allow",
+    key: str = "page_id", default: str = "allow", labels: int = 8,
 ) -> DataFrame:
     """The same for a table of rules of any size, one exploded key each.
 
-    ``lengths`` are the lengths of the rules' paths.
+    ``lengths`` are the lengths of the rules' paths, ``labels`` the most labels of a rule's host.
     """
     host, path = host_and_path(named(url))
     parts = pages.select(
@@ -168,7 +177,7 @@ def by_join(
     listed = rules.groupBy(F.concat("host", "path").alias("rule")).agg(
         F.min("verdict").alias("verdict")
     )
-    hits = parts.select("row", F.explode(candidates(F.col("host"), F.col("path"), lengths))
+    hits = parts.select("row", F.explode(candidates(F.col("host"), F.col("path"), lengths, labels))
                         .alias("rule")).join(listed, "rule")
     order = Window.partitionBy("row").orderBy(
         F.length("rule").desc(), F.length(F.substring_index("rule", "/", 1)).desc()
