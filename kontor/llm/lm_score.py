@@ -33,6 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,11 +41,12 @@ from pyspark.sql import functions as F
 from kontor.llm.common import named, tasks, whole
 from kontor.session import stored
 
-ORDER = 2
+ORDER = 3
 BACKOFF = 0.4
 BLOCK_BYTES = 4 << 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-_ROWS = "block bigint, part int, size int, raw binary, counts binary, id bigint"
+_ROWS = "block bigint, part int, size int, raw binary, counts binary, ids array<bigint>"
+_TOGETHER = 512
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -99,11 +101,11 @@ def _unpacked(raw: bytes) -> np.ndarray:
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64()]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
     columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
     return pa.RecordBatch.from_arrays(
         [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)],
-        ["block", "part", "size", "raw", "counts", "id"],
+        ["block", "part", "size", "raw", "counts", "ids"],
     )
 
 
@@ -174,17 +176,28 @@ def _answered(asked: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame, size: int) -> DataFrame:
+    """The texts of every block, some together and compressed, with their lengths and ids."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor()
         for block, ids, texts in _blocks(batches, size):
-            for at in range(0, len(ids), 512):
-                yield _batch([
-                    (block, 0, 0, text, None, key)
-                    for key, text in zip(ids[at:at + 512], texts[at:at + 512], strict=True)
-                ])
+            for at in range(0, len(ids), _TOGETHER):
+                some = texts[at:at + _TOGETHER]
+                lengths = np.fromiter(map(len, some), dtype="<u8", count=len(some))
+                yield _batch([(
+                    block, 0, 0, packer.compress(b"".join(some)), _planes(lengths),
+                    ids[at:at + _TOGETHER],
+                )])
 
     return docs.mapInArrow(run, _ROWS)
 
 
+def _apart(raw: bytes, lengths: bytes) -> list[bytes]:
+    joined = zstandard.ZstdDecompressor().decompress(raw)
+    ends = np.cumsum(_numbers(lengths, "<u8")).tolist()
+    return [joined[start:end] for start, end in zip([0, *ends], ends, strict=False)]
+
+
 def _log_scores(grams: Grams, totals: list[np.ndarray], backoff: float):
     """Of each document the sum of logarithms without those of N, the number of
     words that need N, and of those that are nowhere else."""
@@ -249,8 +262,8 @@ def _summed(rows: DataFrame, order: int, backoff: float) -> DataFrame:
                 if row[2]:
                     answers.setdefault(row[2], []).append(row[4])
                 else:
-                    ids.append(row[5])
-                    texts.append(row[3])
+                    ids.extend(row[5])
+                    texts.extend(_apart(row[3], row[4]))
         if ids:
             yield solved(ids, texts, answers)
 

@@ -21,22 +21,29 @@ WITH words AS (
 positions AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM words),
 grams AS (
   SELECT r, i, w[i] AS one, w[i - 1] AS before,
-    CASE WHEN i > 1 THEN w[i - 1] || ' ' || w[i] END AS two FROM positions),
-ones AS (SELECT one AS g, count(*) AS c FROM grams GROUP BY ALL),
-own_ones AS (SELECT r, one AS g, count(*) AS c FROM grams GROUP BY ALL),
-twos AS (SELECT two AS g, count(*) AS c FROM grams WHERE two IS NOT NULL GROUP BY ALL),
-own_twos AS (SELECT r, two AS g, count(*) AS c FROM grams WHERE two IS NOT NULL GROUP BY ALL),
+    CASE WHEN i > 1 THEN w[i - 1] || ' ' || w[i] END AS two,
+    CASE WHEN i > 2 THEN w[i - 2] || ' ' || w[i - 1] END AS two_before,
+    CASE WHEN i > 2 THEN w[i - 2] || ' ' || w[i - 1] || ' ' || w[i] END AS three FROM positions),
+everything AS (
+  SELECT r, one AS g FROM grams UNION ALL SELECT r, two FROM grams WHERE two IS NOT NULL
+  UNION ALL SELECT r, three FROM grams WHERE three IS NOT NULL),
+own AS (SELECT r, g, count(*) AS c FROM everything GROUP BY ALL),
+total AS (SELECT g, sum(c) AS c FROM own GROUP BY g),
+others AS (SELECT own.r, own.g, total.c - own.c AS c FROM own JOIN total USING (g)),
 counted AS (
-  SELECT p.r, p.i, a.c - b.c AS here, d.c - e.c AS context, f.c - h.c AS pair
-  FROM grams p JOIN ones a ON a.g = p.one JOIN own_ones b ON b.r = p.r AND b.g = p.one
-  LEFT JOIN ones d ON d.g = p.before LEFT JOIN own_ones e ON e.r = p.r AND e.g = p.before
-  LEFT JOIN twos f ON f.g = p.two LEFT JOIN own_twos h ON h.r = p.r AND h.g = p.two),
+  SELECT p.r, p.i, a.c AS here, b.c AS context, c.c AS pair, d.c AS pair_context, e.c AS triple
+  FROM grams p JOIN others a ON a.r = p.r AND a.g = p.one
+  LEFT JOIN others b ON b.r = p.r AND b.g = p.before
+  LEFT JOIN others c ON c.r = p.r AND c.g = p.two
+  LEFT JOIN others d ON d.r = p.r AND d.g = p.two_before
+  LEFT JOIN others e ON e.r = p.r AND e.g = p.three),
 scored AS (
   SELECT c.r, CASE
-      WHEN pair > 0 THEN ln(pair) - ln(context)
-      WHEN here > 0 THEN ln(here) + (CASE WHEN i > 1 THEN ln(0.4) ELSE 0 END) - ln(n.rest)
-      ELSE (CASE WHEN i > 1 THEN 2 ELSE 1 END) * ln(0.4) - ln(n.rest) END AS s,
-    CASE WHEN coalesce(pair, 0) <= 0 AND here <= 0 THEN 1 ELSE 0 END AS unseen
+      WHEN triple > 0 THEN ln(triple) - ln(pair_context)
+      WHEN pair > 0 THEN ln(pair) - ln(context) + (least(i, 3) - 2) * ln(0.4)
+      WHEN here > 0 THEN ln(here) + (least(i, 3) - 1) * ln(0.4) - ln(n.rest)
+      ELSE least(i, 3) * ln(0.4) - ln(n.rest) END AS s,
+    CASE WHEN coalesce(triple, 0) <= 0 AND coalesce(pair, 0) <= 0 AND here <= 0 THEN 1 ELSE 0 END AS unseen
   FROM counted c JOIN (
     SELECT r, greatest((SELECT sum(len(w)) FROM words) - len(w), 1) AS rest FROM words) n ON n.r = c.r),
 summed AS (SELECT r, sum(s) AS score, sum(unseen) AS unseen FROM scored GROUP BY r)
