@@ -83,12 +83,14 @@ class Grams:
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """Numbers byte by byte: first bytes together, then second ones; compresses well."""
-    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+    """Numbers byte by byte, first bytes together, then second ones, and compressed."""
+    raw = values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(raw)
 
 
 def _numbers(raw: bytes, kind: str) -> np.ndarray:
     width = np.dtype(kind).itemsize
+    raw = zstandard.ZstdDecompressor().decompress(raw)
     return np.frombuffer(raw, np.uint8).reshape(width, -1).T.copy().view(kind).ravel()
 
 
