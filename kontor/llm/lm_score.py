@@ -43,7 +43,7 @@ from kontor.session import stored
 
 ORDER = 3
 BACKOFF = 0.4
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _ROWS = "block bigint, part int, size int, raw binary, counts binary, ids array<bigint>"
 _TOGETHER = 512
