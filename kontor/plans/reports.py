@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from kontor.functions.text import month_label, quarter_label
 from kontor.operators.reporting import pivot_report, share_of_total, top_n
+from kontor.sources.months import MONTH as ORDER_MONTH, month_of
 
 # Result columns and channel names.
 YEAR, QUARTER, MONTH, MONTH_NAME = "año", "trimestre", "mes", "nombre_mes"
@@ -35,13 +36,21 @@ def _ascending(*names: str) -> list[Column]:
 def _on_calendar(
     fact: DataFrame, dates: DataFrame, attributes: dict[str, str], *keys: str
 ) -> DataFrame:
-    """Sales per key and calendar attribute (``attribute: result column``)."""
-    daily = _sales(fact, "orderdatekey", *keys, amount="salesamount")
+    """Sales per key and calendar attribute (``attribute: result column``).
+
+    A fact laid out by month meets the calendar by month as well, and with only some days
+    in ``dates`` no other month is read.
+    """
+    on = ["orderdatekey"]
     days = dates.select(
         F.col("datekey").alias("orderdatekey"),
         *[F.col(name).alias(alias) for name, alias in attributes.items()],
     )
-    return _sales(daily.join(days, "orderdatekey"), *attributes.values(), *keys)
+    if ORDER_MONTH in fact.columns:
+        on.append(ORDER_MONTH)
+        days = days.withColumn(ORDER_MONTH, month_of("orderdatekey"))
+    daily = _sales(fact, *on, *keys, amount="salesamount")
+    return _sales(daily.join(days, on), *attributes.values(), *keys)
 
 
 def sales_by_quarter_region(

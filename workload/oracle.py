@@ -311,6 +311,8 @@ def oracle_sql() -> dict[str, str]:
     lines = "l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax"
     return {
         "sales_by_quarter_region": _columns("quarter_region"),
+        "second_quarters_by_region": _with(
+            "SELECT * FROM quarter_region WHERE trimestre = 2", "quarter_region"),
         "sales_pivot_region": _with(
             'SELECT "año", trimestre, ' + ", ".join(
                 f"max(total_ventas) FILTER (region_mundo = '{name}') AS \"{name}\""
