@@ -300,6 +300,14 @@ def _columns(block: str, *names: str) -> str:
     return _with(f"SELECT {', '.join(names) or '*'} FROM {block}", block)
 
 
+def _first_of_two(rows: str, name: str, key: str, *more: str) -> str:
+    """Every row and its older name under one key: the one that comes first by name."""
+    return f"""SELECT {', '.join(['*', *more])} FROM (
+  SELECT * FROM {rows} UNION ALL BY NAME
+  SELECT * REPLACE ('N older ' || {name} AS {name}) FROM {rows})
+QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {name} NULLS LAST) = 1"""
+
+
 _FACT = """orderdatekey, duedatekey, shipdatekey, promotionkey, currencykey, salesterritorykey,
   salesordernumber, salesorderlinenumber, revisionnumber, orderquantity, unitprice, extendedamount,
   unitpricediscountpct, discountamount, productstandardcost, totalproductcost, salesamount, taxamt,
@@ -464,16 +472,20 @@ SELECT * REPLACE ('m older ' || englishproductname AS englishproductname),
   CAST(substring(productalternatekey, 4) AS BIGINT) + 1 AS "ProductKey",
   englishproductname AS spanishproductname, englishproductname AS frenchproductname
 FROM product_rows WHERE daystomanufacture < 2 AND englishproductname > 'm older '""", "product_rows"),
-        "datamart_dim_reseller": _columns(
-            "reseller_rows", "*", "CAST(substring(reselleralternatekey, 3) AS BIGINT) + 1 AS resellerkey"),
-        "datamart_dim_sales_territory": _columns(
-            "territory_rows", "*", "salesterritoryalternatekey + 1 AS salesterritorykey"),
-        "datamart_dim_currency": _with(
-            "SELECT currencycode AS currencyalternatekey, name AS currencyname, "
-            f"{_currency_key('currencycode')} AS currencykey FROM src_currency", "currency"),
-        "datamart_dim_promotion": _columns(
-            "promotion_rows", "*", "promotionalternatekey + 1 AS promotionkey"),
-        "datamart_dim_date": _columns("calendar"),
+        "datamart_dim_reseller": _with(_first_of_two(
+            "reseller_rows", "resellername", "reselleralternatekey",
+            "CAST(substring(reselleralternatekey, 3) AS BIGINT) + 1 AS resellerkey"), "reseller_rows"),
+        "datamart_dim_sales_territory": _with(_first_of_two(
+            "territory_rows", "salesterritoryregion", "salesterritoryalternatekey",
+            "salesterritoryalternatekey + 1 AS salesterritorykey"), "territory_rows"),
+        "datamart_dim_currency": _with(_first_of_two(
+            "(SELECT currencycode AS currencyalternatekey, name AS currencyname FROM src_currency)",
+            "currencyname", "currencyalternatekey",
+            f"{_currency_key('currencyalternatekey')} AS currencykey"), "currency"),
+        "datamart_dim_promotion": _with(_first_of_two(
+            "promotion_rows", "englishpromotionname", "promotionalternatekey",
+            "promotionalternatekey + 1 AS promotionkey"), "promotion_rows"),
+        "datamart_dim_date": _with(_first_of_two("calendar", "englishmonthname", "datekey"), "calendar"),
         "datamart_dim_employee": _with("""
 SELECT *, CAST(substring(employeenationalidalternatekey, 4) AS BIGINT) AS "EmployeeKey" FROM employee_rows
 QUALIFY row_number() OVER (PARTITION BY employeenationalidalternatekey

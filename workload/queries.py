@@ -370,6 +370,11 @@ def dim_organization(src, star):
     return finance.organizations(src, star["dimcurrency"], ownership=share)
 
 
+def _twice(rows: DataFrame, name: str) -> DataFrame:
+    """Every row, and again with an older name; which of both comes first differs by row."""
+    return rows.unionByName(rows.withColumn(name, F.concat(F.lit("N older "), F.col(name))))
+
+
 def _mart(table: str, rows: DataFrame) -> DataFrame:
     return datamart.mart_dimension(rows, datamart.MART_DIMENSIONS[f"dm_{table}"][1])
 
@@ -389,14 +394,15 @@ def datamart_dim_product(src, star):
 def datamart_dim_reseller(src, star):
     rows = dimensions.resellers(src, star["dimgeography"])
     key = F.substring("reselleralternatekey", 3, 20).cast("bigint") + 1
-    return _mart("dimreseller", rows.withColumn("resellerkey", key))
+    return _mart("dimreseller", _twice(rows, "resellername").withColumn("resellerkey", key))
 
 
 @query
 def datamart_dim_sales_territory(src, star):
     rows = dimensions.sales_territories(src)
     key = F.col("salesterritoryalternatekey") + 1
-    return _mart("dimsalesterritory", rows.withColumn("salesterritorykey", key))
+    return _mart(
+        "dimsalesterritory", _twice(rows, "salesterritoryregion").withColumn("salesterritorykey", key))
 
 
 def currency_number() -> Column:
@@ -408,19 +414,21 @@ def currency_number() -> Column:
 @query
 def datamart_dim_currency(src, star):
     rows = dimensions.currencies(src)
-    return _mart("dimcurrency", rows.withColumn("currencykey", currency_number()))
+    return _mart(
+        "dimcurrency", _twice(rows, "currencyname").withColumn("currencykey", currency_number()))
 
 
 @query
 def datamart_dim_promotion(src, star):
     rows = dimensions.promotions(src)
     key = F.col("promotionalternatekey") + 1
-    return _mart("dimpromotion", rows.withColumn("promotionkey", key))
+    return _mart("dimpromotion", _twice(rows, "englishpromotionname").withColumn("promotionkey", key))
 
 
 @query
 def datamart_dim_date(src, star):
-    return _mart("dimdate", dimensions.dates_covering(src["salesorderheader"], "orderdate"))
+    days = dimensions.dates_covering(src["salesorderheader"], "orderdate")
+    return _mart("dimdate", _twice(days, "englishmonthname"))
 
 
 @query
