@@ -104,6 +104,37 @@ def test_held_out_accuracy(spark):
     assert sum(r["lang_pred"] == r["lang"] for r in tested) / len(tested) > 0.97
 
 
+def test_query_as_by_hand(spark, documents, tmp_path):
+    """Every row of the query, by the plain rule over the samples it learns from."""
+    rows = documents.filter("length(text) < 1500").unionByName(
+        spark.createDataFrame([(-1, None, "en"), (-2, "", "de"), (-3, "12 + 3", None), (None, "the", "en")],
+                              "doc_id bigint, text string, lang string"), allowMissingColumns=True)
+    rows.coalesce(2).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    learned = docs.filter("crc32(coalesce(cast(doc_id as string), '')) % 3 <> 1")
+    samples = defaultdict(list)
+    for lang, text in lang_id.training_sample(learned, "text", "lang"):
+        samples[lang].append(lang_id.plain(text))
+    samples = {lang: " ".join(texts) for lang, texts in sorted(samples.items())}
+    assert len(samples) == 4
+
+    def judged(text):
+        shown = lang_id.plain(text or "")
+        if not shown.strip():
+            return "und", 0.0
+        bits = {lang: parse(shown, sample) * np.log2(len(sample) + 2) for lang, sample in samples.items()}
+        first, second = sorted(bits.values())[:2]
+        return min(bits, key=lambda lang: (bits[lang], lang)), 1 - first / second
+
+    want = sorted(
+        (row.doc_id or 0, zlib.crc32(str(row.doc_id).encode() if row.doc_id is not None else b"") % 3 == 1,
+         *judged(row.text)) for row in docs.select("doc_id", "text").collect())
+    got = sorted((row.doc_id or 0, row.held_out, row.lang_pred, row.score)
+                 for row in queries.op2_language_id(spark, str(tmp_path)).collect())
+    assert len(got) > 40 and [row[:3] for row in got] == [row[:3] for row in want]
+    assert [row[3] for row in got] == pytest.approx([row[3] for row in want])
+
+
 def test_odd_languages(odd, nothing):
     rows = {r["doc_id"]: r for r in lang_id.identified(odd).collect()}
     assert {k for k, r in rows.items() if r["lang_pred"] == "und"} == {3, 4, 5, 8}
