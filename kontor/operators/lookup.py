@@ -2,7 +2,8 @@
 
 No lookup forces a broadcast.  Spark broadcasts a dimension whose size is below
 ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles both sides,
-where adaptive execution splits the rows of a hot key.
+where adaptive execution splits the rows of a hot key.  Spark takes a join for as large as
+the product of its sides; ``broadcast_if_few`` counts instead.
 """
 
 from __future__ import annotations
@@ -16,6 +17,15 @@ from kontor.functions.text import normalized, strip
 from kontor.operators.dedupe import first_per_key
 
 
+# Rows of a narrow table that are broadcast: some tens of megabytes.
+FEW = 1 << 18
+
+
+def broadcast_if_few(df: DataFrame, limit: int = FEW) -> DataFrame:
+    """The frame, marked for broadcast if it is counted to have at most ``limit`` rows."""
+    return F.broadcast(df) if df.count() <= limit else df
+
+
 def lookup_key(
     rows: DataFrame,
     dimension: DataFrame | None,

@@ -5,7 +5,8 @@ Each function takes the source tables by name and the loaded dimensions by name
 
 How the sales facts are laid out for scale: lookups that depend on the order
 are made on the order headers, and a product meets its surrogate key in the
-product table, so order lines are joined twice only (product, header).  A load of changed
+product table, so order lines are joined twice only (product, header); products that are counted to
+be few are broadcast, and lines in buckets meet their headers where they lie.  A load of changed
 orders cuts the lines to these orders before anything else.  Lines are numbered
 per order number where they meet; an order of over a million lines is numbered over ranges.
 """
@@ -13,7 +14,8 @@ per order number where they meet; an order of over a million lines is numbered o
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +25,9 @@ from kontor.functions import calendar
 from kontor.operators.columns import conform
 from kontor.operators.columns import since as changed
 from kontor.operators.loading import stamp
-from kontor.operators.lookup import lookup_key
+from kontor.operators.lookup import broadcast_if_few, lookup_key
 from kontor.operators.numbering import COPY_LIMIT, expand_copies, line_number
+from kontor.sources.buckets import headers_to_join, lines_to_join
 
 Tables = Mapping[str, DataFrame]
 
@@ -73,12 +76,16 @@ def _discount(price: Column, share: Column, quantity: Column) -> Column:
     return (price * share).cast("decimal(27,8)") * quantity.cast("decimal(10,0)")
 
 
-def _lines(src: Tables, dims: Tables, detail: DataFrame, product_join: str) -> DataFrame:
-    """Order lines with product and promotion keys and their amounts."""
-    catalog = lookup_key(
+def _catalog(src: Tables, dims: Tables) -> DataFrame:
+    """Products with their surrogate key."""
+    return broadcast_if_few(lookup_key(
         src["product"].select("productid", F.col("productnumber").alias("product_bk"), "standardcost"),
         dims.get("dimproduct"), "product_bk", "productalternatekey", "productkey",
-    )
+    ))
+
+
+def _lines(catalog: DataFrame, dims: Tables, detail: DataFrame, product_join: str) -> DataFrame:
+    """Order lines with product and promotion keys and their amounts."""
     promoted = lookup_key(
         detail, dims.get("dimpromotion"),
         "specialofferid", "promotionalternatekey", "promotionkey",
@@ -106,19 +113,28 @@ def _of_orders(detail: DataFrame, headers: DataFrame, cut: bool) -> DataFrame:
 
 
 def _numbered(
-    headers: DataFrame, lines: DataFrame, orders: DataFrame, detail: DataFrame
+    src: Tables, dims: Tables, headers: DataFrame, orders: DataFrame, cut: bool, product_join: str
 ) -> DataFrame:
     """Order lines joined to their headers and numbered within the order number.
 
     Which orders are large is told from the ids of lines and orders alone.
     """
-    rows = headers.join(lines, "salesorderid")
+    details = [_of_orders(detail, orders, cut) for detail in lines_to_join(src)]
+    catalog = _catalog(src, dims)
+    rows = reduce(DataFrame.unionByName, [
+        headers.join(_lines(catalog, dims, detail, product_join), "salesorderid")
+        for detail in details
+    ])
     order = _LINE_ORDER + [
         name for name in rows.columns if name not in (*_LINE_ORDER, "salesordernumber")
     ]
-    counts = detail.groupBy("salesorderid").agg(F.count(F.lit(1)).alias("rows"))
-    sizes = orders.select("salesorderid", "salesordernumber").join(counts, "salesorderid")
-    return line_number(rows, ["salesordernumber"], order, _NUMBER, sizes, detail)
+    sizes = reduce(DataFrame.unionByName, [
+        orders.select("salesorderid", "salesordernumber").join(
+            detail.groupBy("salesorderid").agg(F.count(F.lit(1)).alias("rows")), "salesorderid")
+        for detail in details
+    ])
+    bound = reduce(DataFrame.unionByName, details)
+    return line_number(rows, ["salesordernumber"], order, _NUMBER, sizes, bound)
 
 
 def internet_sales(
@@ -137,7 +153,7 @@ def internet_sales(
         src["customer"].select("customerid", "accountnumber"),
         dims.get("dimcustomer"), "accountnumber", "customeralternatekey", "customerkey",
     ).select("customerid", "customerkey")
-    orders = changed(src["salesorderheader"], since)
+    orders = changed(headers_to_join(src), since)
     if channel is not None:
         orders = orders.filter(channel)
     headers = orders.select(
@@ -154,8 +170,7 @@ def internet_sales(
         "salesordernumber", "taxamt", "freight",
     ])
     cut = since is not None or channel is not None
-    detail = _of_orders(src["salesorderdetail"], orders, cut)
-    numbered = _numbered(headers, _lines(src, dims, detail, "left"), orders, detail)
+    numbered = _numbered(src, dims, headers, orders, cut, "left")
     complete = numbered.na.drop("any", subset=[
         "productkey", "promotionkey", "orderquantity", "unitprice", "extendedamount",
         "unitpricediscountpct", "discountamount", "productstandardcost", "totalproductcost",
@@ -190,7 +205,7 @@ def reseller_sales(
         dims.get("dimemployee"),
         "nationalidnumber", "employeenationalidalternatekey", "employeekey",
     ).select("salespersonid", "employeekey")
-    orders = changed(src["salesorderheader"], since)
+    orders = changed(headers_to_join(src), since)
     headers = (
         orders.select(
             "salesorderid", "salesordernumber", "orderdate", "duedate", "shipdate", "taxamt",
@@ -205,8 +220,7 @@ def reseller_sales(
         "customerid", "salespersonid", "territoryid", "currencyrateid", "currency_bk"
     )
     headers = headers.na.drop("any", subset=["orderdate", "employeekey", "currencykey"])
-    detail = _of_orders(src["salesorderdetail"], orders, since is not None)
-    numbered = _numbered(headers, _lines(src, dims, detail, "inner"), orders, detail)
+    numbered = _numbered(src, dims, headers, orders, since is not None, "inner")
     # One order may have known and unknown resellers: dropped after numbering.
     complete = numbered.na.drop("any", subset=["productkey", "resellerkey"])
     return conform(

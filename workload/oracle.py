@@ -400,6 +400,8 @@ WHERE f.totalchildren IS NOT NULL""", "customer", "person", "emailaddress", "add
         "first_last_order_year": _columns("order_years"),
         "fact_internet_sales": _columns("internet", "customerkey", _FACT_COLUMNS),
         "fact_reseller_sales": _columns("resold", "resellerkey", "employeekey", _FACT_COLUMNS),
+        "fact_internet_sales_bucketed": _columns("internet", "customerkey", _FACT_COLUMNS),
+        "fact_reseller_sales_bucketed": _columns("resold", "resellerkey", "employeekey", _FACT_COLUMNS),
         "fact_internet_sales_since": _columns("internet", "customerkey", _FACT_COLUMNS)
         + f" WHERE orderdate >= {_HALFWAY}",
         "fact_reseller_sales_since": _columns("resold", "resellerkey", "employeekey", _FACT_COLUMNS)

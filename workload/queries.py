@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from kontor.plans import datamart, dimensions, facts, finance, reports
 from kontor.plans import warehouse as jobs
 from kontor.plans.warehouse import Warehouse
 from kontor.session import application_folder, configure, stored
+from kontor.sources.buckets import bucketed_source, write_orders
 from kontor.sources.months import read_by_month, write_by_month
 from kontor.sources.retail import RetailSource, RetailStar
 from kontor.sources.tables import export_csv, load_tables, read_table, replace_table
@@ -281,6 +282,25 @@ def fact_internet_sales(src, star):
     return facts.internet_sales(src, star, load_date=LOAD_DATE)
 
 
+def bucketed(src: RetailSource) -> Mapping[str, DataFrame]:
+    """The source with its orders in buckets; orders of more than six lines are apart."""
+    spark = src.spark
+    prefix = f"orders_{uuid.uuid4().hex}_"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_orders(src, scratch(spark, "buckets"), buckets, prefix, limit=6)
+    return bucketed_source(spark, src, prefix)
+
+
+@query
+def fact_internet_sales_bucketed(src, star):
+    return facts.internet_sales(bucketed(src), star, load_date=LOAD_DATE)
+
+
+@query
+def fact_reseller_sales_bucketed(src, star):
+    return facts.reseller_sales(bucketed(src), star, load_date=LOAD_DATE)
+
+
 @query
 def fact_internet_sales_since(src, star):
     """The load of changed orders."""
