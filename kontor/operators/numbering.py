@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kontor.operators.lookup import broadcast_if_few
 from kontor.session import stored
 
 # Copies of one row that a single task may write out.
@@ -91,12 +92,18 @@ def _without_number(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
 
 
 def number_within(df: DataFrame, partition: Sequence[str], order: Sequence, out: str) -> DataFrame:
-    """Row numbers inside groups, null where a key is null; for few groups of any size."""
+    """Row numbers inside groups, null where a key is null; for few groups of any size.
+
+    The first number of each group is stored and, counted to be few, broadcast: no rows are brought
+    together by their group again.
+    """
     keyed = df.filter(_known(partition))
     numbered = number_rows(keyed, [*[F.col(name) for name in partition], *order], "_number")
-    first = numbered.groupBy(*[F.col(name).alias(f"_{name}") for name in partition]).agg(
-        F.min("_number").alias("_first")
-    )
+    first = broadcast_if_few(stored(
+        numbered.groupBy(*[F.col(name).alias(f"_{name}") for name in partition]).agg(
+            F.min("_number").alias("_first")
+        )
+    ))
     same = [numbered[name] == first[f"_{name}"] for name in partition]
     return numbered.join(first, same, "inner").select(
         *df.columns, (F.col("_number") - F.col("_first") + 1).cast("int").alias(out)

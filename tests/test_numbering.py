@@ -128,3 +128,17 @@ def test_surrogate_keys_survive_a_second_action(frame):
     df = frame([(i % 10,) for i in range(500)], "a INT")
     keyed = numbering.assign_keys(df, [F.col("a")], "key")
     assert values(keyed) == values(keyed)
+
+
+def test_large_groups_meet_their_first_number_without_an_exchange(spark, frame):
+    """One row a group is broadcast, whatever Spark takes its size for."""
+    df = frame([(n % 3, n) for n in range(900)], "k INT, v INT")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = numbering.number_within(df, ["k"], ["v"], "line")
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(k#" not in text
+        assert found.filter("line <> v DIV 3 + 1").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
