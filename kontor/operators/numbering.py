@@ -113,6 +113,7 @@ def number_within(df: DataFrame, partition: Sequence[str], order: Sequence, out:
 def line_number(
     df: DataFrame, partition: Sequence[str], order: Sequence[str], out: str,
     sizes: DataFrame | None = None, bound: DataFrame | None = None, limit: int = LARGE,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """Running number of each row inside its group, null where a key is null.
 
@@ -122,7 +123,8 @@ def line_number(
     from ``sizes``, a frame with the keys and a row or a count ``rows`` for each line, by default
     the keys of ``df``; they are at most one in ``limit`` rows, so they are broadcast.  Where
     ``bound``, by default ``df``, has no more than ``limit`` rows, no group can have.  Rows with
-    a null key pass with the others, dealt out by a hash of the row.
+    a null key pass with the others, dealt out by a hash of the row.  Rows that lie together by the
+    columns ``within`` are numbered where they lie; a key must have one value of these only.
     """
     keys = list(partition)
     dealt = F.when(_known(keys), F.lit(0)).otherwise(
@@ -130,7 +132,7 @@ def line_number(
     ordering = [F.col(name).asc_nulls_last() for name in order]
 
     def numbered(rows: DataFrame) -> DataFrame:
-        window = Window.partitionBy("_dealt", *keys).orderBy(*ordering)
+        window = Window.partitionBy("_dealt", *within, *keys).orderBy(*ordering)
         number = F.when(F.col("_dealt") == 0, F.row_number().over(window))
         return rows.withColumn("_dealt", dealt).select(*df.columns, number.alias(out))
 

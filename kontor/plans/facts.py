@@ -26,7 +26,8 @@ from kontor.operators.columns import conform
 from kontor.operators.columns import since as changed
 from kontor.operators.loading import stamp
 from kontor.operators.lookup import broadcast_if_few, lookup_key
-from kontor.operators.numbering import COPY_LIMIT, expand_copies, line_number
+from kontor.operators.numbering import COPY_LIMIT, LARGE, expand_copies, line_number
+from kontor.session import stored
 from kontor.sources.buckets import headers_to_join, lines_to_join
 
 Tables = Mapping[str, DataFrame]
@@ -85,26 +86,32 @@ def _catalog(src: Tables, dims: Tables) -> DataFrame:
 
 
 def _lines(catalog: DataFrame, dims: Tables, detail: DataFrame, product_join: str) -> DataFrame:
-    """Order lines with product and promotion keys and their amounts."""
+    """Order lines with product and promotion keys, and what their amounts are made of."""
     promoted = lookup_key(
         detail, dims.get("dimpromotion"),
         "specialofferid", "promotionalternatekey", "promotionkey",
     )
-    quantity, price = F.col("orderqty"), F.col("unitprice")
     return promoted.join(catalog, "productid", product_join).select(
         "salesorderid", "product_bk", "productkey",
         F.col("specialofferid").alias("promotion_bk"), "promotionkey",
-        quantity.alias("orderquantity"), "unitprice",
+        F.col("orderqty").alias("orderquantity"), "unitprice",
         F.col("linetotal").alias("extendedamount"),
         F.col("unitpricediscount").alias("unitpricediscountpct"),
-        _discount(price, F.col("unitpricediscount"), quantity).alias("discountamount"),
         F.col("standardcost").alias("productstandardcost"),
-        (F.col("standardcost") * quantity).alias("totalproductcost"),
-        F.col("linetotal").alias("salesamount"),
         "carriertrackingnumber",
     )
 
 
+def _measured(lines: DataFrame) -> DataFrame:
+    """Lines with the amounts that follow from the others; none of these is shuffled."""
+    quantity = F.col("orderquantity")
+    return lines.withColumns({
+        "discountamount": _discount(F.col("unitprice"), F.col("unitpricediscountpct"), quantity),
+        "totalproductcost": F.col("productstandardcost") * quantity,
+        "salesamount": F.col("extendedamount"),
+    })
+
+
 def _of_orders(detail: DataFrame, headers: DataFrame, cut: bool) -> DataFrame:
     """The lines of the given orders; all lines if the orders weren't cut."""
     if not cut:
@@ -112,29 +119,61 @@ def _of_orders(detail: DataFrame, headers: DataFrame, cut: bool) -> DataFrame:
     return detail.join(headers.select("salesorderid").distinct(), "salesorderid", "left_semi")
 
 
+def _shared_numbers(orders: DataFrame) -> DataFrame:
+    """Order numbers that stand for several order ids."""
+    return stored(
+        orders.filter(F.col("salesordernumber").isNotNull()).groupBy("salesordernumber")
+        .agg(F.min("salesorderid").alias("_least"), F.max("salesorderid").alias("_largest"))
+        .filter(F.col("_least") < F.col("_largest")).select("salesordernumber")
+    )
+
+
 def _numbered(
     src: Tables, dims: Tables, headers: DataFrame, orders: DataFrame, cut: bool, product_join: str
 ) -> DataFrame:
     """Order lines joined to their headers and numbered within the order number.
 
-    Which orders are large is told from the ids of lines and orders alone.
+    Which orders are large is told from the ids of lines and orders alone.  Of more than ``LARGE``
+    lines, those whose order number stands for one order id are numbered where they have met
+    their header, without a further exchange; the others by themselves.
     """
-    details = [_of_orders(detail, orders, cut) for detail in lines_to_join(src)]
+    details = lines_to_join(src)
     catalog = _catalog(src, dims)
-    rows = reduce(DataFrame.unionByName, [
-        headers.join(_lines(catalog, dims, detail, product_join), "salesorderid")
-        for detail in details
-    ])
-    order = _LINE_ORDER + [
-        name for name in rows.columns if name not in (*_LINE_ORDER, "salesordernumber")
-    ]
-    sizes = reduce(DataFrame.unionByName, [
-        orders.select("salesorderid", "salesordernumber").join(
-            detail.groupBy("salesorderid").agg(F.count(F.lit(1)).alias("rows")), "salesorderid")
-        for detail in details
-    ])
-    bound = reduce(DataFrame.unionByName, details)
-    return line_number(rows, ["salesordernumber"], order, _NUMBER, sizes, bound)
+
+    def numbered(headers: DataFrame, orders: DataFrame, details: list[DataFrame], within=()) -> DataFrame:
+        rows = reduce(DataFrame.unionByName, [
+            headers.join(_lines(catalog, dims, detail, product_join), "salesorderid")
+            for detail in details
+        ])
+        order = _LINE_ORDER + [
+            name for name in rows.columns if name not in (*_LINE_ORDER, "salesordernumber")
+        ]
+        sizes = reduce(DataFrame.unionByName, [
+            orders.select("salesorderid", "salesordernumber").join(
+                detail.groupBy("salesorderid").agg(F.count(F.lit(1)).alias("rows")), "salesorderid")
+            for detail in details
+        ])
+        bound = reduce(DataFrame.unionByName, details)
+        return line_number(
+            rows, ["salesordernumber"], order, _NUMBER, sizes, bound, LARGE, within)
+
+    many = sum(detail.count() for detail in details) > LARGE
+    details = [_of_orders(detail, orders, cut) for detail in details]
+    if not many:
+        return _measured(numbered(headers, orders, details))
+    shared, apart = _shared_numbers(orders), []
+    if not shared.isEmpty():
+        shared = broadcast_if_few(shared)
+        together = orders.join(shared, "salesordernumber", "left_semi")
+        apart = [numbered(
+            headers.join(shared, "salesordernumber", "left_semi"), together,
+            [_of_orders(detail, together, True) for detail in details],
+        )]
+        headers, orders = (
+            df.join(shared, "salesordernumber", "left_anti") for df in (headers, orders))
+    # Parts of the lines share no order id.
+    parts = [numbered(headers, orders, [detail], ["salesorderid"]) for detail in details]
+    return _measured(reduce(DataFrame.unionByName, [*parts, *apart]))
 
 
 def internet_sales(

@@ -100,3 +100,21 @@ def test_broadcast_only_if_few(spark):
     many = broadcast_if_few(spark.range(4), 3)
     assert "broadcast" in few._jdf.queryExecution().logical().toString()
     assert "broadcast" not in many._jdf.queryExecution().logical().toString()
+
+
+@pytest.mark.parametrize("build", [facts.internet_sales, facts.reseller_sales])
+def test_many_lines_are_numbered_where_they_met_their_headers(spark, src, star, bucketed, build, monkeypatch):
+    laid_out = bucketed(src, 1 << 20)
+    plain = build(src, star).drop("saved")
+    monkeypatch.setattr(facts, "LARGE", 100)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        found = build(laid_out, star)
+        assert list(exchanges_above(found._jdf.queryExecution().executedPlan(), f"{LINES}{IN_BUCKETS}")) == [0]
+        assert values(found.drop("saved")) == values(plain)
+        found = build(src, star)
+        assert list(exchanges_above(found._jdf.queryExecution().executedPlan(), "lineitem")) == [1]
+        assert values(found.drop("saved")) == values(plain)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

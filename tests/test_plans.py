@@ -144,6 +144,23 @@ def test_lines_are_numbered_per_order_number(frame, dims):
     assert {row.salesorderlinenumber for row in facts.reseller_sales(source, dims).collect()} == {None}
 
 
+@pytest.mark.parametrize("large", [0, 2, 4])
+@pytest.mark.parametrize("build", [facts.internet_sales, facts.reseller_sales])
+def test_many_lines_have_the_same_numbers(frame, dims, monkeypatch, large, build):
+    """Orders that share a number, repeat, have none, or one of their own."""
+    source = sales_source(frame, [*LINES, *LINES[:2], (4, 1, 0, 1, D("5"), D("0"), D("5"), None),
+                                  (None, 1, 0, 1, D("5"), D("0"), D("5"), None)])
+    headers = source["salesorderheader"].withColumn("shipdate", F.col("orderdate"))
+    more = headers.filter("salesorderid = 1")
+    source["salesorderheader"] = headers.unionByName(more).unionByName(
+        more.withColumns({"salesorderid": F.lit(4), "salesordernumber": F.lit("SO2")})
+    ).unionByName(more.withColumns({"salesorderid": F.lit(2), "salesordernumber": F.lit(None).cast("string")})
+    ).unionByName(more.withColumns({"salesorderid": F.lit(None).cast("int"), "salesordernumber": F.lit("SO1")}))
+    wanted = values(build(source, dims).drop("saved"))
+    monkeypatch.setattr(facts, "LARGE", large)
+    assert wanted and values(build(source, dims).drop("saved")) == wanted
+
+
 def test_internet_sales_channel_and_since(frame, dims):
     source = sales_source(frame, LINES)
     assert facts.internet_sales(source, dims, channel=F.col("salesordernumber") == "SO2").count() == 0
