@@ -18,7 +18,7 @@ from kontor.operators.numbering import assign_keys
 from kontor.plans import datamart, dimensions, facts, finance
 from kontor.session import discarding
 from kontor.sources.tables import replace_table
-from kontor.sources.versions import Table
+from kontor.sources.versions import Table, in_ranges
 
 Tables = Mapping[str, DataFrame]
 
@@ -129,10 +129,17 @@ class Warehouse(Mapping):
             batch = self._keyed(table, before, batch, keys, surrogate)
         elif before is not None:
             batch = _as_table(batch, before)
-        rows = batch if rules is None else checked(batch, rules, self)
         # Keys of a dimension are in order already, and they are not looked up again.
         key = surrogate or keys[0]
-        folder, staged, rejects = table.stage(rows, key, sort=surrogate is None)
+        # Rows with one key are found where the ranges of keys lie that are written.
+        ranged = surrogate is None and rules is not None and key in rules.unique
+        if rules is None:
+            rows = batch
+        elif ranged:
+            rows = checked(batch, rules, self, place=lambda found: in_ranges(found, key))
+        else:
+            rows = checked(batch, rules, self)
+        folder, staged, rejects = table.stage(rows, key, sort=surrogate is None, spread=not ranged)
         opened: set[str] = set()
         files = table.files(before).collect() if before else []
         if surrogate is None and files and staged:

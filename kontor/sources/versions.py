@@ -38,6 +38,17 @@ def key_text(name: str, kind: T.DataType) -> Column:
     return F.coalesce(key.cast("string"), F.lit(""))
 
 
+def key_order(name: str, kind: T.DataType) -> Column:
+    """What sorts as the text of a key does: the key itself where it can, which is no work to compare."""
+    plain = isinstance(kind, T.IntegralType) or kind == T.StringType()
+    return F.col(name).asc_nulls_first() if plain else key_text(name, kind)
+
+
+def in_ranges(df: DataFrame, key: str) -> DataFrame:
+    """The rows in partitions that hold ranges of the key."""
+    return df.repartitionByRange(key_order(key, df.schema[key].dataType))
+
+
 class Table:
     """One versioned table."""
 
@@ -144,19 +155,21 @@ class Table:
 
     # Writing.
 
-    def stage(self, df: DataFrame, key: str | None = None, sort: bool = True) -> tuple[str, list, list]:
+    def stage(
+        self, df: DataFrame, key: str | None = None, sort: bool = True, spread: bool = True
+    ) -> tuple[str, list, list]:
         """Write rows; returns the folder, its data files and its files of rejects.
 
         A column ``reasons`` says why a row is rejected; empty where it isn't.  Rows are sorted by
-        ``key``, so that files hold ranges of keys.
+        ``key``, so that files hold ranges of keys; rows that lie in such ranges need no ``spread``.
         """
         folder = f"data-{uuid.uuid4().hex}"
         reasoned = "reasons" in df.columns
         bad = F.size("reasons") > 0 if reasoned else F.lit(False)
         rows = df.withColumn("rejected", bad)
         if key is not None and sort:
-            order = key_text(key, df.schema[key].dataType)
-            rows = rows.repartitionByRange(order).sortWithinPartitions("rejected", order)
+            rows = in_ranges(rows, key) if spread else rows
+            rows = rows.sortWithinPartitions("rejected", key_order(key, df.schema[key].dataType))
         rows.write.partitionBy("rejected").parquet(f"{self.path}/{folder}")
         return (folder, *[self._indexed(f"{folder}/{part}", df.schema, key) for part in (_ACCEPTED, _REJECTED)])
 

@@ -1,13 +1,15 @@
 """Versioned tables: commits, the key index, rejected rows and watermarks."""
 
+import datetime as dt
+
 import pytest
-from helpers import values
+from helpers import SMALL, values
 from pyspark.sql import functions as F
 
-from kontor.operators.integrity import Constraints
+from kontor.operators.integrity import Constraints, checked
 from kontor.plans.warehouse import Warehouse
 from kontor.sources import tables
-from kontor.sources.versions import Conflict, Table
+from kontor.sources.versions import Conflict, Table, in_ranges, key_order, key_text
 
 
 @pytest.fixture
@@ -135,3 +137,39 @@ def test_loads_since_the_watermark(spark, frame, tmp_path):
     assert warehouse.load_since("t", "erp", source.limit(0), "changed", keys=["k"]) == 0
     assert warehouse.watermark("t", "erp").startswith("2020-01-20") and warehouse["t"].count() == 20
     assert warehouse.watermark("t", "other") is None
+
+
+@pytest.mark.parametrize("limit", [0, 3, 1 << 20])
+def test_repeated_keys_of_any_size(frame, limit):
+    rows = [(1, "b", 0.0), (1, "a", 1.0), (1, "a", 1.0), (1, None, 2.0), (1, "c", 1.0), (None, "x", 1.0),
+            (None, "x", 1.0), (None, "w", None), (2, "z", -0.0), (2, "z", 0.0), (3, "q", float("nan"))]
+    batch = frame(rows, "k INT, v STRING, d DOUBLE")
+    found = checked(batch, Constraints(unique=["k"]), {}, limit)
+    good = [tuple(row)[:2] for row in found.filter(F.size("reasons") == 0).collect()]
+    assert sorted(good, key=str) == [(1, None), (2, "z"), (3, "q"), (None, "w")]
+    assert {tuple(row.reasons) for row in found.collect()} == {(), ("repeated: k",)}
+    shown = ["k", "v", "CAST(d + 0.0 AS STRING) AS d"]
+    assert values(found.selectExpr(*shown)) == values(batch.selectExpr(*shown))
+
+
+def test_rows_under_constraints_are_exchanged_once(spark):
+    """From the scan to the files: they are sorted where their keys have met."""
+    batch = spark.read.parquet(f"{SMALL}/lineitem.parquet")
+    rules = Constraints(unique=["l_orderkey", "l_linenumber"], not_null=["l_quantity"])
+    found = checked(batch, rules, {})
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    placed = checked(batch, rules, {}, place=lambda rows: in_ranges(rows, "l_orderkey"))
+    text = placed._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and "rangepartitioning" in text
+    assert values(found, "l_orderkey", "l_linenumber", "reasons") == values(
+        placed, "l_orderkey", "l_linenumber", "reasons")
+
+
+def test_keys_sort_as_their_text(frame):
+    for kind, held in (("BIGINT", [5, -3, None, 1 << 62, 10, -20]), ("STRING", ["b", None, "B", "\u00e4", "a"]),
+                       ("DATE", [None, dt.date(2020, 1, 1), dt.date(1999, 1, 1)])):
+        df = frame([(value,) for value in held], f"k {kind}")
+        text, order = (way("k", df.schema["k"].dataType) for way in (key_text, key_order))
+        assert [r.k for r in df.sort(order).collect()] == [r.k for r in df.sort(text).collect()]
+        if kind != "DATE":
+            assert "lpad" not in str(order) and "CAST" not in str(order).upper()
