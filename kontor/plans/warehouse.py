@@ -7,7 +7,7 @@ import json
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +18,7 @@ from kontor.operators.numbering import assign_keys
 from kontor.plans import datamart, dimensions, facts, finance
 from kontor.session import discarding
 from kontor.sources.tables import replace_table
-from kontor.sources.versions import Table, in_ranges
+from kontor.sources.versions import Table, in_ranges, sorts_as_text
 
 Tables = Mapping[str, DataFrame]
 
@@ -150,7 +150,10 @@ class Warehouse(Mapping):
                 # Only these rows can be known; the files of all others stay as they are.
                 doubtful = table.rows_of([row["path"] for row in staged if row["path"] in hits], schema)
                 known = table.rows_of(sorted(opened), schema)
-                _, fresh, _ = table.stage(insert_only_new(doubtful, known, keys), key)
+                if sorts_as_text(schema[key].dataType):
+                    _, fresh, _ = table.stage(_new_in_ranges(doubtful, known, keys), key, spread=False)
+                else:
+                    _, fresh, _ = table.stage(insert_only_new(doubtful, known, keys), key)
                 staged = [row for row in staged if row["path"] not in hits] + fresh
         added = sum(row["rows"] for row in staged)
         rejected = sum(row["rows"] for row in rejects)
@@ -209,6 +212,17 @@ class Warehouse(Mapping):
         return has_new_fact_data(self.get(fact), date=date)
 
 
+def _new_in_ranges(batch: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``insert_only_new`` of rows in the types of the table, in ranges of the first key.
+
+    Rows and known keys are exchanged once, for the ranges that are written.
+    """
+    known = existing.select(*keys).withColumn("_known", F.lit(True))
+    both = batch.withColumn("_known", F.lit(False)).unionByName(known, allowMissingColumns=True)
+    held = F.max("_known").over(Window.partitionBy(*keys))
+    return in_ranges(both, keys[0]).withColumn("_held", held).filter(~F.col("_held")).select(*batch.columns)
+
+
 def _as_table(batch: DataFrame, state: dict) -> DataFrame:
     """``batch`` in the columns and types of the table."""
     schema = T.StructType.fromJson(state["schema"])

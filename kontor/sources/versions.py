@@ -38,10 +38,14 @@ def key_text(name: str, kind: T.DataType) -> Column:
     return F.coalesce(key.cast("string"), F.lit(""))
 
 
+def sorts_as_text(kind: T.DataType) -> bool:
+    """Whether keys of this type sort as their text does."""
+    return isinstance(kind, T.IntegralType) or kind == T.StringType()
+
+
 def key_order(name: str, kind: T.DataType) -> Column:
     """What sorts as the text of a key does: the key itself where it can, which is no work to compare."""
-    plain = isinstance(kind, T.IntegralType) or kind == T.StringType()
-    return F.col(name).asc_nulls_first() if plain else key_text(name, kind)
+    return F.col(name).asc_nulls_first() if sorts_as_text(kind) else key_text(name, kind)
 
 
 def in_ranges(df: DataFrame, key: str) -> DataFrame:

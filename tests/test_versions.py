@@ -7,6 +7,8 @@ from helpers import SMALL, values
 from pyspark.sql import functions as F
 
 from kontor.operators.integrity import Constraints, checked
+from kontor.operators.loading import insert_only_new
+from kontor.plans import warehouse as jobs
 from kontor.plans.warehouse import Warehouse
 from kontor.sources import tables
 from kontor.sources.versions import Conflict, Table, in_ranges, key_order, key_text
@@ -173,3 +175,15 @@ def test_keys_sort_as_their_text(frame):
         assert [r.k for r in df.sort(order).collect()] == [r.k for r in df.sort(text).collect()]
         if kind != "DATE":
             assert "lpad" not in str(order) and "CAST" not in str(order).upper()
+
+
+def test_known_rows_are_told_in_the_ranges_that_are_written(frame):
+    """As the join tells them, nulls included, but with one exchange of the rows."""
+    batch = frame([("a", 1, 5.0), ("a", 1, 6.0), ("a", 2, 1.0), (None, 1, 1.0), (None, None, 2.0), ("b", None, 3.0),
+                   ("c", 1, 1.0), ("c", 1, 1.0)], "k STRING, n INT, v DOUBLE")
+    existing = frame([("a", 1, 0.0), ("a", 1, 0.0), (None, None, 0.0), ("c", 2, 1.0)], "k STRING, n INT, v DOUBLE")
+    found = jobs._new_in_ranges(batch, existing, ["k", "n"])
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and "rangepartitioning" in text
+    assert values(found) == values(insert_only_new(batch, existing, ["k", "n"]))
+    assert found.count() == 5
