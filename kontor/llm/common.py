@@ -11,6 +11,9 @@ from kontor.session import stored
 
 #: A word is a longest run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of rows that a Python worker gets at once, unless the session says otherwise.
+BATCH = "4m"
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -53,6 +56,19 @@ def tasks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, of whose rows a Python worker gets some ``BATCH`` bytes at once.
+
+    By default batches end at 10,000 rows or 64 MB, so one of texts may be a task's whole
+    input, which the executor and its worker then hold several times over.  The limit is the
+    session's and stays set, as plans read it when they run; one already given is kept.
+    """
+    conf = df.sparkSession.conf
+    if _BATCH_KEY not in conf.getAll:
+        conf.set(_BATCH_KEY, BATCH)
+    return df
+
+
 def prefix_sums(
     df: DataFrame, order: Sequence[Column], sums: dict[str, Column], within: Sequence[str] = ()
 ) -> DataFrame:

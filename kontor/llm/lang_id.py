@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kontor.llm.common import fresh, named, whole
+from kontor.llm.common import fresh, in_small_batches, named, whole
 
 ROWS = 64
 CHARS = 1024
@@ -347,7 +347,7 @@ def with_language(docs: DataFrame, model: Model, text: str = "text") -> DataFram
     predict = F.pandas_udf(run, "lang_pred string, score double, entropy double")
     found, = fresh(docs, "_found")
     names = fresh(docs, "lang_pred", "score", "entropy")
-    return docs.withColumn(found, predict(named(text))).select(
+    return in_small_batches(docs).withColumn(found, predict(named(text))).select(
         *[named(name) for name in docs.columns],
         *[named(found)[field].alias(name)
           for field, name in zip(("lang_pred", "score", "entropy"), names, strict=True)],

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kontor.llm.common import fresh, named, tasks, whole
+from kontor.llm.common import fresh, in_small_batches, named, tasks, whole
 from kontor.llm.tokens import encoder, pieces
 from kontor.session import stored
 
@@ -99,8 +99,11 @@ def encoded(docs: DataFrame, path: str, text: str, key: str) -> DataFrame:
                  raw.cast(pa.binary())],
                 ["id", "curve", "tokens", "ids"],
             )
+        pa.default_memory_pool().release_unused()  # the worker lives on, through other stages
 
-    rows = docs.select(named(key).cast("bigint").alias("id"), whole(named(text)).alias("text"))
+    rows = in_small_batches(docs).select(
+        named(key).cast("bigint").alias("id"), whole(named(text)).alias("text")
+    )
     return rows.mapInArrow(run, "id bigint, curve bigint, tokens bigint, ids binary")
 
 

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kontor.llm.common import fresh, named, tasks, whole
+from kontor.llm.common import fresh, in_small_batches, named, tasks, whole
 from kontor.llm.components import components
 from kontor.session import stored
 
@@ -102,7 +102,7 @@ def fingerprints(
             )
 
     body = whole(named(text))
-    rows = docs.select(
+    rows = in_small_batches(docs).select(
         named(key).cast("bigint").alias("id"), F.xxhash64(body).alias("mark"),
         body.cast("binary").alias("raw"),
     )
